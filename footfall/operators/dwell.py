@@ -70,29 +70,88 @@ def micro_pairs(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
                     F.col("r.start_dt").alias("time_1"), F.col("p.start_dt").alias("time_2"))
 
 
-def _first_event_rows(events: DataFrame, p: Params) -> DataFrame:
-    """One row per event (duplicates kept) with its ``first_event``; no partner -> dropped."""
+def event_stage(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The one window stage of the dwell job, on ``(user_id, date_dt, bucket)``.
+
+    Per event (``start_dt``, epoch ``_us``):
+
+    * ``first_event``: earliest event of the user-day in ``[t - 45 min, t - 1 min]``
+      (range-frame ``min``; null when there is none);
+    * ``_emit``: the event is the last one with its ``first_event``, i.e. it
+      closes the micro dwell ``(first_event, start_dt)``.  ``first_event`` never
+      decreases with ``t``, so this is "the next event has another one";
+    * ``_start``: that micro dwell starts a chain: the micro dwell emitted
+      before it ends before its ``first_event``.
+
+    Halo: 2 x 45 min back (the look-back of the earliest event whose emission
+    decides a chain start) and 45 min ahead (the next event, when it matters).
+    Rows earlier than ``bucket start - 45 min`` have an incomplete look-back and
+    only serve as context.  Duplicated events give duplicated rows; only the
+    last of them emits.
+    """
+    gap, min_gap, width = p.micro_max_gap_s * US, p.micro_min_gap_s * US, p.bucket_s * US
     ev = _clean(events).withColumn("_us", epoch_us("start_dt"))
-    x = with_halo(ev, "_us", p.bucket_s * US, back_us=p.micro_max_gap_s * US)
-    w = (Window.partitionBy(*KEYS, BUCKET).orderBy("_us")
-         .rangeBetween(-p.micro_max_gap_s * US, -p.micro_min_gap_s * US))
+    x = with_halo(ev, "_us", width, back_us=2 * gap, ahead_us=gap)
+    order = Window.partitionBy(*KEYS, BUCKET).orderBy("_us")
+    complete = F.col("_us") >= F.col(BUCKET) * F.lit(width) - F.lit(gap)
+    nxt = F.lead("first_event").over(order)
+    emitted_before = F.last(F.when(F.col("_emit"), F.col("start_dt")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        x.withColumn("first_event", F.min("start_dt").over(w))
-        .where(F.col(OWN) & F.col("first_event").isNotNull())
-        .select("date_dt", "user_id", F.col("start_dt").alias("time_1"), "first_event")
+        x.withColumn("first_event", F.min("start_dt").over(order.rangeBetween(-gap, -min_gap)))
+        .withColumn("_emit", complete & F.col("first_event").isNotNull()
+                    & (nxt.isNull() | (nxt != F.col("first_event"))))
+        .withColumn("_start", F.col("_emit") & (emitted_before.isNull()
+                                                | (emitted_before < F.col("first_event"))))
     )
 
 
 def micro_first_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """``(date_dt, user_id, time_1, first_event)``: earliest partner of each event time."""
-    return _first_event_rows(events, p).distinct()
+    return (event_stage(events, p)
+            .where(F.col(OWN) & F.col("first_event").isNotNull())
+            .select("date_dt", "user_id", F.col("start_dt").alias("time_1"), "first_event")
+            .distinct())
+
+
+def _emitted(events: DataFrame, p: Params) -> DataFrame:
+    return (event_stage(events, p).where(F.col(OWN) & F.col("_emit"))
+            .withColumnRenamed("start_dt", "last_event"))
 
 
 def micro_dwells(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """``(date_dt, user_id, first_event, last_event)``; ``first_event`` unique per user-day."""
-    return (_first_event_rows(events, p)
-            .groupBy("date_dt", "user_id", "first_event")
-            .agg(F.max("time_1").alias("last_event")))
+    return _emitted(events, p).select(*DWELL_COLUMNS)
+
+
+def dwells_from_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Dwells (``contained`` mode) straight from site events.
+
+    1. ``event_stage``: micro dwells and chain starts, per time bucket (buckets
+       of ``last_event``; starts and ends of micro dwells rise together).
+    2. Inside each bucket, each micro dwell gets the latest chain start so far
+       (``_local``, running max); micro dwells before the bucket's first start
+       (its "head") have none.  Aggregating by ``(bucket, _local)`` needs no
+       shuffle (the rows are already hash-partitioned by bucket) and leaves one
+       row per chain piece: chains are disjoint and at least ``micro_min_gap``
+       long, so a user-day has at most ~1440 of them plus one head per bucket.
+    3. A window over these pieces per user-day carries the latest start into
+       each head; a last aggregation merges the pieces of each chain.
+    """
+    m = _emitted(events, p).withColumn("_first_us", epoch_us("first_event"))
+    inner = Window.partitionBy(*KEYS, BUCKET).orderBy("_us").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    pieces = (
+        m.withColumn("_local", F.max(F.when(F.col("_start"), F.col("_first_us"))).over(inner))
+        .groupBy(*KEYS, BUCKET, "_local")
+        .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+    )
+    carried = pieces.withColumn("_island", F.coalesce("_local", F.max("_local").over(
+        Window.partitionBy(*KEYS).orderBy(BUCKET, F.col("_local").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    return (carried.groupBy("date_dt", "user_id", "_island")
+            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+            .select(*DWELL_COLUMNS))
 
 
 def micro_sequence(micro: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -235,7 +294,7 @@ def resolve_dwells(micro: DataFrame, macro: DataFrame, mode: str = "contained",
 
 def dwells(site_events: DataFrame, mode: str = "contained", p: Params = DEFAULT) -> DataFrame:
     """Site events -> dwells ``(date_dt, user_id, first_event, last_event)``."""
-    micro = micro_dwells(site_events, p)
     if mode == "contained":
-        return dwell_islands(micro, p)
+        return dwells_from_events(site_events, p)
+    micro = micro_dwells(site_events, p)
     return resolve_as_reference(micro, macro_dwells(micro, p), p)

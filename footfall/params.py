@@ -32,7 +32,7 @@ class Params:
     # width (plus a halo of neighbouring rows), so one very busy user-day is
     # spread over many tasks instead of landing in one.  Must be at least the
     # largest look-back that the bucketed operator uses.
-    bucket_s: int = 1 * HOUR
+    bucket_s: int = 2 * HOUR
     # Interval joins against the 2 h look-back use buckets of this width.
     lookback_bucket_s: int = 2 * HOUR
 

@@ -54,7 +54,7 @@ class Inputs:
 
     @cached_property
     def dwells(self) -> DataFrame:
-        return D.dwell_islands(self.micro, self.p)
+        return D.dwells_from_events(self.site_events, self.p)
 
     @cached_property
     def dwells_table(self) -> DataFrame:

@@ -29,7 +29,7 @@ class Mapping:
     user_mod: int | None      # user_id % user_mod, or raw user ids
     cell_mod: int | None      # k % cell_mod, or raw k
     site_below: int           # site cells: cell_id < site_below
-    rail_mod: int             # rail cells: cell_id % rail_mod = rail_mod - 1 ...
+    rail_mod: int             # rail cells: cell_id % rail_mod ...
     rail_rem: int             # ... = rail_rem
     area_mod: int             # area of a cell: 'M' || (cell_id % area_mod)
     excluded_area: str        # the site's own area
@@ -49,6 +49,9 @@ START_CELL_NULL_EVERY = 11     # start_source_cell_id null when event_id % 11 =
 DECOY_SECONDS = 90             # end_timestamp = start + 90 s when start is present
 DECOY_CELL_OFFSET = 1000       # end cell = cell + 1000 when the start cell is present
 
+# Fixed value: ``props`` holds ``{"k": n}``; the pattern reads n (cheaper than a JSON parse).
+K_PATTERN = r'"k"\s*:\s*(-?\d+)'
+
 BANDS_PER_DAY = 96             # time bands every 15 minutes from 00:00
 BAND_STEP_S = 15 * 60
 
@@ -74,19 +77,21 @@ class Fixture:
         return F.col("user_id") % self.m.user_mod if self.m.user_mod else F.col("user_id")
 
     def _cell(self) -> F.Column:
-        k = F.get_json_object("props", "$.k").cast("int")
+        k = F.regexp_extract("props", K_PATTERN, 1).cast("int")
         return k % self.m.cell_mod if self.m.cell_mod else k
 
     def raw_trace(self) -> DataFrame:
         """``imsi, start_timestamp, end_timestamp, start/end_source_cell_id, year, month, day``."""
-        ev = _events(self.spark, self.sf_dir)
-        base = truncate_seconds("ts")
+        # Parse and truncate once; the CASE columns below only reference the results.
+        ev = _events(self.spark, self.sf_dir).select(
+            "event_id", self._user().alias("imsi"),
+            truncate_seconds("ts").alias("_base"), self._cell().alias("_cell"))
+        base, cell = F.col("_base"), F.col("_cell")
         no_start = F.col("event_id") % START_TS_NULL_EVERY == 0
         no_start_cell = F.col("event_id") % START_CELL_NULL_EVERY == 0
-        cell = self._cell()
         parts = day_parts(F.to_date(base))
         return ev.select(
-            self._user().alias("imsi"),
+            "imsi",
             F.when(~no_start, base).alias("start_timestamp"),
             F.when(no_start, base).otherwise(plus_s(base, DECOY_SECONDS)).alias("end_timestamp"),
             F.when(~no_start_cell, cell).alias("start_source_cell_id"),
@@ -95,8 +100,8 @@ class Fixture:
         )
 
     def _cells(self) -> DataFrame:
-        """Every cell id seen in the trace."""
-        return _events(self.spark, self.sf_dir).select(self._cell().alias("cell_id")).distinct()
+        """Every cell id seen in the trace (a small dimension, cached once it is built)."""
+        return _events(self.spark, self.sf_dir).select(self._cell().alias("cell_id")).distinct().cache()
 
     def site_cell_table(self) -> DataFrame:
         """``source_cell_id`` of the monitored site."""
@@ -130,7 +135,7 @@ def sql_views(mapping: str = "dense") -> str:
     rail_cell_table, time_series_table`` in DuckDB SQL (same rules as ``Fixture``)."""
     m = MAPPINGS[mapping]
     user = f"(user_id % {m.user_mod})" if m.user_mod else "user_id"
-    k = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+    k = f"CAST(regexp_extract(props, '{K_PATTERN}', 1) AS INTEGER)"
     cell = f"({k} % {m.cell_mod})" if m.cell_mod else k
     return f"""
 raw_trace AS (
