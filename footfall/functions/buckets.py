@@ -8,9 +8,10 @@ also copied ("halo" copy, ``_own = false``) into the neighbouring buckets whose
 rows may need it as context.  A busy user-day is thereby split into
 ``day / width`` independent groups; results are taken from own rows only.
 
-Quantities that are not local in time (running counts, island starts) are
+Quantities that are not local in time (running counts, chain starts) are
 stitched across buckets from a per-bucket summary, which holds at most
-``day / width`` rows per user-day (see ``carry_max`` and ``ordinal``).
+``day / width`` rows per user-day (see ``ordinal`` here and the chain pieces
+in ``operators.dwell``).
 """
 
 from __future__ import annotations
@@ -57,31 +58,6 @@ def span_buckets(df: DataFrame, lo_us: Column, hi_us: Column, width_us: int) ->
     )
 
 
-def carry_max(df: DataFrame, keys: Sequence[str], value: Column, out: str) -> DataFrame:
-    """Running max of ``value`` over ``keys`` in ``_us`` order, across buckets.
-
-    ``df`` holds own rows only, with ``_bucket`` and ``_us`` columns.  The running
-    max is taken inside each ``(keys, _bucket)`` group and completed with the max
-    of all earlier buckets, read from a per-bucket summary (at most one row per
-    bucket, so the summary window stays small however busy the key is).
-    """
-    keys = list(keys)
-    inner = Window.partitionBy(*keys, BUCKET).orderBy("_us").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_val", value).withColumn("_local", F.max("_val").over(inner))
-    summary = (
-        local.groupBy(*keys, BUCKET).agg(F.max("_val").alias("_bucket_max"))
-        .withColumn("_carry", F.max("_bucket_max").over(
-            Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*keys, BUCKET, "_carry")
-    )
-    return (
-        local.join(summary, [*keys, BUCKET], "left")
-        .withColumn(out, F.greatest("_local", "_carry"))
-        .drop("_val", "_local", "_carry")
-    )
-
-
 def ordinal(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """``row_number()`` over ``keys`` in ``_us`` order, computed per bucket.
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.buckets import BUCKET, OWN, bucket_of, carry_max, ordinal, with_halo
+from ..functions.buckets import BUCKET, OWN, bucket_of, ordinal, with_halo
 from ..functions.timecols import epoch_us
 from ..params import DEFAULT, Params
 from ..sources.dimensions import checked_broadcast, site_cells
@@ -124,34 +124,45 @@ def micro_dwells(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return _emitted(events, p).select(*DWELL_COLUMNS)
 
 
-def dwells_from_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Dwells (``contained`` mode) straight from site events.
-
-    1. ``event_stage``: micro dwells and chain starts, per time bucket (buckets
-       of ``last_event``; starts and ends of micro dwells rise together).
-    2. Inside each bucket, each micro dwell gets the latest chain start so far
-       (``_local``, running max); micro dwells before the bucket's first start
-       (its "head") have none.  Aggregating by ``(bucket, _local)`` needs no
-       shuffle (the rows are already hash-partitioned by bucket) and leaves one
-       row per chain piece: chains are disjoint and at least ``micro_min_gap``
-       long, so a user-day has at most ~1440 of them plus one head per bucket.
-    3. A window over these pieces per user-day carries the latest start into
-       each head; a last aggregation merges the pieces of each chain.
+def _chains(m: DataFrame) -> DataFrame:
+    """Merge micro dwells into chains: ``(date_dt, user_id, first_event, last_event, _n)``.
+
+    ``m`` holds micro dwells with ``_start`` (starts a chain), ``_bucket`` and
+    ``_us`` (order inside the bucket; starts and ends of micro dwells rise
+    together, so either time orders them).  Inside each bucket a micro dwell
+    gets the latest chain start so far (``_local``, running max); the ones
+    before the bucket's first start (its "head") have none.  Aggregating by
+    ``(bucket, _local)`` needs no shuffle (rows are hash-partitioned by bucket)
+    and leaves one row per chain piece: chains are disjoint and at least
+    ``micro_min_gap`` long, so a user-day has at most ~1440 of them plus one
+    head per bucket.  A window over those pieces per user-day carries the
+    latest start into each head; a last aggregation merges each chain.
     """
-    m = _emitted(events, p).withColumn("_first_us", epoch_us("first_event"))
     inner = Window.partitionBy(*KEYS, BUCKET).orderBy("_us").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     pieces = (
-        m.withColumn("_local", F.max(F.when(F.col("_start"), F.col("_first_us"))).over(inner))
+        m.withColumn("_local", F.max(F.when(F.col("_start"), epoch_us("first_event"))).over(inner))
         .groupBy(*KEYS, BUCKET, "_local")
-        .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+        .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"),
+             F.count(F.lit(1)).alias("_n"))
     )
     carried = pieces.withColumn("_island", F.coalesce("_local", F.max("_local").over(
         Window.partitionBy(*KEYS).orderBy(BUCKET, F.col("_local").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     return (carried.groupBy("date_dt", "user_id", "_island")
-            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
-            .select(*DWELL_COLUMNS))
+            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"),
+                 F.sum("_n").alias("_n")))
+
+
+def dwells_from_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Dwells (``contained`` mode) straight from site events: one window stage
+    (``event_stage``) finds micro dwells and chain starts, ``_chains`` merges."""
+    return _chains(_emitted(events, p)).select(*DWELL_COLUMNS)
+
+
+def macro_dwells_from_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Macro dwells (chains of at least two micro dwells) straight from site events."""
+    return _chains(_emitted(events, p)).where(F.col("_n") >= 2).select(*DWELL_COLUMNS)
 
 
 def micro_sequence(micro: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -201,39 +212,27 @@ def macro_dwells_from_islands(islands: DataFrame) -> DataFrame:
             .agg(F.max("last_event_2").alias("last_event"), F.min("first_event").alias("first_event")))
 
 
-def _island_members(micro: DataFrame, p: Params) -> DataFrame:
-    """Micro dwells with ``_island``: the start time (epoch us) of their chain.
-
-    A micro dwell starts a chain unless an earlier one ends at or after its
-    start; only micro dwells starting at most ``micro_max_gap`` earlier can
-    (their span is bounded), so the test runs per bucket with a backward halo.
-    The chain start is the latest start so far (``carry_max``).
-    """
-    d = micro.withColumn("_us", epoch_us("first_event"))
+def _flag_starts(micro: DataFrame, p: Params) -> DataFrame:
+    """Micro dwells (any source) with ``_start``: no earlier micro dwell of the
+    user-day ends at or after its start.  Only micro dwells starting at most
+    ``micro_max_gap`` earlier can (their span is bounded by the pairing rule),
+    so the test runs per bucket of ``first_event`` with a backward halo."""
+    d = micro.select(*DWELL_COLUMNS).withColumn("_us", epoch_us("first_event"))
     x = with_halo(d, "_us", p.bucket_s * US, back_us=p.micro_max_gap_s * US)
     w = Window.partitionBy(*KEYS, BUCKET).orderBy("_us").rangeBetween(-p.micro_max_gap_s * US, -1)
-    x = (x.withColumn("_prev_last", F.max("last_event").over(w))
-         .where(F.col(OWN))
-         .withColumn("_start", F.col("_prev_last").isNull() | (F.col("_prev_last") < F.col("first_event"))))
-    return carry_max(x, KEYS, F.when(F.col("_start"), F.col("_us")), "_island")
+    return (x.withColumn("_prev_last", F.max("last_event").over(w))
+            .where(F.col(OWN))
+            .withColumn("_start", F.col("_prev_last").isNull() | (F.col("_prev_last") < F.col("first_event"))))
 
 
 def dwell_islands(micro: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Dwells in ``contained`` mode: each chain of micro dwells merged (gaps and islands)."""
-    return (_island_members(micro, p)
-            .groupBy("date_dt", "user_id", "_island")
-            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
-            .select(*DWELL_COLUMNS))
+    """Dwells in ``contained`` mode from micro dwells: each chain merged (gaps and islands)."""
+    return _chains(_flag_starts(micro, p)).select(*DWELL_COLUMNS)
 
 
 def macro_dwells(micro: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Macro dwells: chains of at least two micro dwells."""
-    return (_island_members(micro, p)
-            .groupBy("date_dt", "user_id", "_island")
-            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"),
-                 F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= 2)
-            .select(*DWELL_COLUMNS))
+    """Macro dwells from micro dwells: chains of at least two."""
+    return _chains(_flag_starts(micro, p)).where(F.col("_n") >= 2).select(*DWELL_COLUMNS)
 
 
 # ---------------------------------------------------------------- resolution
@@ -257,30 +256,26 @@ def resolve_as_reference(micro: DataFrame, macro: DataFrame, p: Params = DEFAULT
     that starts and ends no earlier than the micro dwell; coalesce; distinct.
 
     Output grows with micro x macro dwells per date.  The macro side is reduced
-    to distinct ``(date_dt, first, last)``; the join is widened by the time
-    bucket of the macro start (each micro dwell is copied to the buckets from
-    its own start to the end of its date), so one date is not one task.
+    to distinct ``(date_dt, first, last)`` and copied into every time bucket
+    from the start of its date up to its own start bucket; a micro dwell joins
+    in the bucket of its own start only.  So the date is not one task, every
+    matching pair meets exactly once, and the left-outer join stays exact.
     """
-    mac = macro.select("date_dt", "first_event", "last_event").distinct()
-    mic = micro.select(*DWELL_COLUMNS)
     width = p.bucket_s * US
-    day_end_us = epoch_us(F.col("date_dt").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")) - F.lit(1)
-    mi = mic.withColumn(BUCKET, F.explode(F.sequence(
-        bucket_of(epoch_us("first_event"), width), bucket_of(day_end_us, width)))).alias("mi")
-    ma = mac.withColumn(BUCKET, bucket_of(epoch_us("first_event"), width)).alias("ma")
+    day_start_us = epoch_us(F.col("date_dt").cast("timestamp_ntz"))
+    ma = (macro.select("date_dt", "first_event", "last_event").distinct()
+          .withColumn(BUCKET, F.explode(F.sequence(bucket_of(day_start_us, width),
+                                                   bucket_of(epoch_us("first_event"), width))))
+          .alias("ma"))
+    mi = micro.select(*DWELL_COLUMNS).withColumn(BUCKET, bucket_of(epoch_us("first_event"), width)).alias("mi")
     cond = ((F.col("mi.date_dt") == F.col("ma.date_dt")) & (F.col(f"mi.{BUCKET}") == F.col(f"ma.{BUCKET}"))
             & (F.col("mi.first_event") <= F.col("ma.first_event"))
             & (F.col("mi.last_event") <= F.col("ma.last_event")))
-    pairs = mi.join(ma, cond, "inner").select(
+    return mi.join(ma, cond, "left").select(
         F.col("mi.date_dt").alias("date_dt"), F.col("mi.user_id").alias("user_id"),
-        F.col("mi.first_event").alias("m_first"), F.col("mi.last_event").alias("m_last"),
-        F.col("ma.first_event").alias("first_event"), F.col("ma.last_event").alias("last_event"))
-    matched = pairs.select("date_dt", "user_id", "first_event", "last_event")
-    unmatched = mic.join(
-        pairs.select("date_dt", "user_id", F.col("m_first").alias("first_event"),
-                     F.col("m_last").alias("last_event")).distinct(),
-        DWELL_COLUMNS, "left_anti")
-    return matched.unionByName(unmatched).distinct()
+        F.coalesce("ma.first_event", "mi.first_event").alias("first_event"),
+        F.coalesce("ma.last_event", "mi.last_event").alias("last_event"),
+    ).distinct()
 
 
 def resolve_dwells(micro: DataFrame, macro: DataFrame, mode: str = "contained",
@@ -296,5 +291,4 @@ def dwells(site_events: DataFrame, mode: str = "contained", p: Params = DEFAULT)
     """Site events -> dwells ``(date_dt, user_id, first_event, last_event)``."""
     if mode == "contained":
         return dwells_from_events(site_events, p)
-    micro = micro_dwells(site_events, p)
-    return resolve_as_reference(micro, macro_dwells(micro, p), p)
+    return resolve_as_reference(micro_dwells(site_events, p), macro_dwells_from_events(site_events, p), p)

@@ -56,6 +56,14 @@ class Inputs:
     def dwells(self) -> DataFrame:
         return D.dwells_from_events(self.site_events, self.p)
 
+    @cached_property
+    def dwells_written(self) -> DataFrame:
+        """Dwells written once to a scratch table under the checkpoint folder and
+        read back, for queries whose branches all start from the dwells."""
+        path = sinks.scratch_table_path(self.spark, "dwells-shared")
+        self.dwells.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def dwells_table(self) -> DataFrame:
         return sinks.stamp_by_date(self.dwells, LOAD_TS)
@@ -68,10 +76,19 @@ class Inputs:
     def previous(self) -> DataFrame:
         return O.previous_events(self.trace, self.dwells, self.p)
 
+    def origin(self, keep_unknown: bool = False) -> DataFrame:
+        dw = self.dwells_written
+        prev = O.previous_events(self.trace, dw, self.p)
+        top = O.origin_top_cell(O.origin_candidates(prev, self.fx.area_cell_table(), self.p))
+        return O.visitor_origin(dw, top, self.fx.area_cell_table(), keep_unknown)
+
     @cached_property
     def joined(self) -> DataFrame:
-        flags = A.arrival_flags(self.previous, self.fx.rail_cell_table(), self.p)
-        return A.attachment_joined(self.dwells, self.users, flags)
+        dw = self.dwells_written
+        prev = O.previous_events(self.trace, dw, self.p)
+        flags = A.arrival_flags(prev, self.fx.rail_cell_table(), self.p)
+        users = Q.visit_frequency(sinks.stamp_by_date(dw, LOAD_TS), RUN_DATE, self.p)
+        return A.attachment_joined(dw, users, flags)
 
 
 def _dense(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -86,8 +103,8 @@ def _partition_overwrite(i: Inputs) -> DataFrame:
     """Write every day, re-run one day with a new load time, read the table back."""
     path = sinks.scratch_table_path(i.spark, "dwells")
     cols = sinks.OUTPUT_COLUMNS["dwells"]
-    sinks.overwrite_partitions(i.dwells_table, path, cols)
-    rerun = sinks.stamp_partition(i.dwells.where(F.col("date_dt") == F.lit(RUN_DAY).cast("date")),
+    sinks.overwrite_partitions(sinks.stamp_by_date(i.dwells_written, LOAD_TS), path, cols)
+    rerun = sinks.stamp_partition(i.dwells_written.where(F.col("date_dt") == F.lit(RUN_DAY).cast("date")),
                                   RUN_DAY, RELOAD_TS)
     sinks.overwrite_partitions(rerun, path, cols)
     return sinks.read_table(i.spark, path)
@@ -111,9 +128,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "micro_sequence": _dense(lambda i: D.micro_sequence(i.micro, i.p)),
     "macro_links": _dense(lambda i: D.macro_links(D.micro_sequence(i.micro, i.p), i.p)),
     "macro_islands": _dense(lambda i: D.macro_islands(D.macro_links(D.micro_sequence(i.micro, i.p), i.p), i.p)),
-    "macro_dwells": _dense(lambda i: D.macro_dwells(i.micro, i.p)),
-    "dwells_contained": _dense(lambda i: D.resolve_contained(i.micro, D.macro_dwells(i.micro, i.p), i.p)),
-    "dwells_as_reference": _dense(lambda i: D.resolve_as_reference(i.micro, D.macro_dwells(i.micro, i.p), i.p)),
+    "macro_dwells": _dense(lambda i: D.macro_dwells_from_events(i.site_events, i.p)),
+    "dwells_contained": _dense(lambda i: D.resolve_contained(
+        i.micro, D.macro_dwells_from_events(i.site_events, i.p), i.p)),
+    "dwells_as_reference": _dense(lambda i: D.dwells(i.site_events, "as_reference", i.p)),
     "dwells_islands": _dense(lambda i: i.dwells),
     "dwells_of_day": _dense(lambda i: scan_day(i.dwells_table, RUN_DAY)),
     # visit frequency
@@ -129,12 +147,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "origin_candidates": _dense(lambda i: O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p)),
     "origin_top_cell": _dense(
         lambda i: O.origin_top_cell(O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p))),
-    "origin_msoa": _dense(lambda i: O.visitor_origin(
-        i.dwells, O.origin_top_cell(O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p)),
-        i.fx.area_cell_table())),
-    "origin_msoa_keep_unknown": _dense(lambda i: O.visitor_origin(
-        i.dwells, O.origin_top_cell(O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p)),
-        i.fx.area_cell_table(), keep_unknown=True)),
+    "origin_msoa": _dense(lambda i: i.origin()),
+    "origin_msoa_keep_unknown": _dense(lambda i: i.origin(keep_unknown=True)),
     # arrival mode and attachment
     "rail_events": _dense(lambda i: A.rail_events(i.previous, i.fx.rail_cell_table())),
     "rail_trips": _dense(lambda i: A.rail_trips(i.previous, i.fx.rail_cell_table(), i.p)),
