@@ -31,6 +31,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle bytes per input byte of the dwell job: the bucketed window copies
+# each event into about 2.1 buckets (2 h buckets, 90 min back + 45 min ahead).
+HALO_FACTOR = 2.2
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure_for_input(spark: SparkSession, input_bytes: int,
+                        target_partition_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Size shuffles for a day of ``input_bytes`` of trace (compressed Parquet).
+
+    Sets ``spark.sql.shuffle.partitions`` so that the largest shuffle (events
+    with their halo copies) lands near ``target_partition_bytes`` per partition
+    before AQE coalesces small ones, file splits of the same size, and the AQE
+    skew-join thresholds relative to it.  Returns the partition count.
+    """
+    n = max(200, min(200_000, int(input_bytes * HALO_FACTOR // target_partition_bytes) + 1))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(4 * target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "4")
+    return n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "footfall") -> SparkSession:
     """Session for tests and the local benchmark (no UI, small shuffles)."""

@@ -79,3 +79,24 @@ def test_previous_events_bucketed_equals_plain(spark):
                     & (F.col("e.start_dt") > F.col("d.first_event") - F.expr("INTERVAL 2 HOURS")))
              .select("date_dt", "user_id", "e.start_dt", "e.cell_id", "d.first_event", "d.last_event"))
     _same(O.previous_events(ev, dw, p), plain)
+
+
+def test_hot_user_is_split_over_buckets(spark):
+    ev = _events(spark, 5)
+    groups = (D.event_stage(ev).where("user_id = 0 AND _own")
+              .select("date_dt", "_bucket").distinct().count())
+    assert groups >= 20          # two days, 12 two-hour buckets each
+
+
+def test_partition_sizing(spark):
+    from footfall.session import configure_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert configure_for_input(spark, 3 * 1024**4) > 40_000     # 3 TiB day
+        assert configure_for_input(spark, 10 * 1024**2) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionFactor")
