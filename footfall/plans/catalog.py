@@ -171,23 +171,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # DuckDB oracles (literal forms)
 # ---------------------------------------------------------------------------
 
-def _chain(mapping: str) -> str:
-    excluded = "M0" if mapping == "dense" else "M7"
-    return sql_views(mapping) + f""",
-trace AS (
-  SELECT imsi AS user_id,
-         CAST(coalesce(start_timestamp, end_timestamp) AS DATE) AS date_dt,
-         coalesce(start_timestamp, end_timestamp) AS start_dt,
-         coalesce(start_source_cell_id, end_source_cell_id) AS cell_id,
-         year, month, day
-  FROM raw_trace
-),
-site AS (SELECT DISTINCT source_cell_id AS cell_id FROM site_cell_table),
-site_events AS (
-  SELECT t.user_id, t.date_dt, t.start_dt, t.cell_id, t.year, t.month, t.day
-  FROM trace t JOIN site s ON t.cell_id = s.cell_id
-),
-micro_pairs AS (
+# The dwell rules in literal SQL, from a relation ``site_events(user_id, date_dt,
+# start_dt, ...)`` to ``micro``, ``links``, ``islands``, ``macro``, ``dwells``
+# (contained) and ``dwells_ref`` (date-only resolution).
+DWELL_CTES = """micro_pairs AS (
   SELECT a.date_dt, a.user_id, a.start_dt AS time_1, b.start_dt AS time_2
   FROM site_events a JOIN site_events b ON a.user_id = b.user_id AND a.date_dt = b.date_dt
   WHERE b.start_dt >= a.start_dt - INTERVAL 2700 SECOND
@@ -235,7 +222,26 @@ dwells_ref AS (
          coalesce(ma.last_event, mi.last_event) AS last_event
   FROM micro mi LEFT JOIN macro ma
     ON mi.date_dt = ma.date_dt AND mi.first_event <= ma.first_event AND mi.last_event <= ma.last_event
+)"""
+
+
+def _chain(mapping: str) -> str:
+    excluded = "M0" if mapping == "dense" else "M7"
+    return sql_views(mapping) + f""",
+trace AS (
+  SELECT imsi AS user_id,
+         CAST(coalesce(start_timestamp, end_timestamp) AS DATE) AS date_dt,
+         coalesce(start_timestamp, end_timestamp) AS start_dt,
+         coalesce(start_source_cell_id, end_source_cell_id) AS cell_id,
+         year, month, day
+  FROM raw_trace
+),
+site AS (SELECT DISTINCT source_cell_id AS cell_id FROM site_cell_table),
+site_events AS (
+  SELECT t.user_id, t.date_dt, t.start_dt, t.cell_id, t.year, t.month, t.day
+  FROM trace t JOIN site s ON t.cell_id = s.cell_id
 ),
+{DWELL_CTES},
 dwells_table AS (
   SELECT date_dt, user_id, first_event, last_event,
          TIMESTAMP '{LOAD_TS}' AS load_timestamp,
