@@ -17,14 +17,24 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Verdicts of earlier checks: the same plan over the same input files has the
+# same row count, so it is counted once per session.
+_VERDICTS: dict[tuple, bool] = {}
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
 
-    The count runs on the (small) dimension once; a dimension that has grown past
-    the bound is returned without the hint and is joined by shuffle.
+    The count (of at most ``max_rows + 1`` rows) runs on the dimension; a
+    dimension that has grown past the bound is returned without the hint and is
+    joined by shuffle.  The verdict is kept for the plan and its file listing.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows,
+           tuple(sorted(df.inputFiles())))
+    small = _VERDICTS.get(key)
+    if small is None:
+        small = _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
 
 
 def site_cells(cells: DataFrame) -> DataFrame:
