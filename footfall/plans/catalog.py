@@ -20,7 +20,7 @@ from ..operators import frequency as Q
 from ..operators import origin as O
 from ..params import Params
 from ..sources import dimensions as dims
-from ..sources.fixtures import (BAND_STEP_S, BANDS_PER_DAY, LOAD_TS, RUN_DATE, RUN_DAY, Fixture,
+from ..sources.fixtures import (BAND_STEP_S, BANDS_PER_DAY, LOAD_TS, MAPPINGS, RUN_DATE, RUN_DAY, Fixture,
                                 sql_views)
 from ..sources.trace import normalise_trace, scan_day, trailing_window
 from . import sinks
@@ -226,7 +226,7 @@ dwells_ref AS (
 
 
 def _chain(mapping: str) -> str:
-    excluded = "M0" if mapping == "dense" else "M7"
+    excluded = MAPPINGS[mapping].excluded_area
     return sql_views(mapping) + f""",
 trace AS (
   SELECT imsi AS user_id,
@@ -398,9 +398,10 @@ _FINAL: dict[str, tuple[str, str]] = {
 }
 
 
-def oracle(name: str) -> str:
-    mapping, final = _FINAL[name]
-    return f"WITH {_chain(mapping)}\n{final}"
+def oracle(name: str, mapping: str | None = None) -> str:
+    """Oracle SQL of a query; ``mapping`` overrides the fixture mapping (tests)."""
+    default, final = _FINAL[name]
+    return f"WITH {_chain(mapping or default)}\n{final}"
 
 
 ORACLES: dict[str, str] = {name: oracle(name) for name in _FINAL}

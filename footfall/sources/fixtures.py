@@ -33,6 +33,7 @@ class Mapping:
     rail_rem: int             # ... = rail_rem
     area_mod: int             # area of a cell: 'M' || (cell_id % area_mod)
     excluded_area: str        # the site's own area
+    hot_every: int | None = None  # events with event_id % hot_every = 0 all go to user 0
 
 
 # The two data mappings of FIXTURES.md.
@@ -40,7 +41,10 @@ DENSE = Mapping("dense", user_mod=15, cell_mod=20, site_below=12, rail_mod=10, r
                 area_mod=5, excluded_area="M0")
 SPARSE = Mapping("sparse", user_mod=None, cell_mod=None, site_below=80, rail_mod=5, rail_rem=0,
                  area_mod=25, excluded_area="M7")
-MAPPINGS = {"dense": DENSE, "sparse": SPARSE}
+# Skew check (tests only): a third of all events belong to one user.
+HOT = Mapping("hot", user_mod=None, cell_mod=20, site_below=12, rail_mod=10, rail_rem=9,
+              area_mod=5, excluded_area="M0", hot_every=3)
+MAPPINGS = {"dense": DENSE, "sparse": SPARSE, "hot": HOT}
 
 # Null patterns that exercise coalesce, and the decoy offsets of
 # the fallback columns (a decoy must never be picked).
@@ -74,7 +78,10 @@ class Fixture:
 
     # -- columns shared by the trace and the cell universe
     def _user(self) -> F.Column:
-        return F.col("user_id") % self.m.user_mod if self.m.user_mod else F.col("user_id")
+        user = F.col("user_id") % self.m.user_mod if self.m.user_mod else F.col("user_id")
+        if self.m.hot_every:
+            user = F.when(F.col("event_id") % self.m.hot_every == 0, F.lit(0).cast("long")).otherwise(user)
+        return user
 
     def _cell(self) -> F.Column:
         k = F.regexp_extract("props", K_PATTERN, 1).cast("int")
@@ -135,6 +142,8 @@ def sql_views(mapping: str = "dense") -> str:
     rail_cell_table, time_series_table`` in DuckDB SQL (same rules as ``Fixture``)."""
     m = MAPPINGS[mapping]
     user = f"(user_id % {m.user_mod})" if m.user_mod else "user_id"
+    if m.hot_every:
+        user = f"CASE WHEN event_id % {m.hot_every} = 0 THEN CAST(0 AS BIGINT) ELSE {user} END"
     k = f"CAST(regexp_extract(props, '{K_PATTERN}', 1) AS INTEGER)"
     cell = f"({k} % {m.cell_mod})" if m.cell_mod else k
     return f"""
