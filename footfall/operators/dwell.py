@@ -14,11 +14,17 @@ Rules (per user and event date):
 
 Scalable forms used here instead of the literal self-joins:
 
-* the pairing self-join + ``min`` is a range-frame ``min`` window;
-* the chain self-join (``counter + 1``) is ``lead``; chains are islands found
-  with a running max over island starts;
+* the pairing self-join + ``min`` is a range-frame ``min`` window; the same
+  sorted pass (``event_stage``) also finds the event closing each micro dwell
+  and whether the micro dwell starts a chain (the one emitted before it ends
+  before it starts), so the ``counter + 1`` self-join is not needed;
+* chains are merged from per-bucket pieces (``_chains``), with one small window
+  per user-day to carry chain starts across buckets;
 * every window runs on ``(user_id, date_dt, time bucket)`` with a halo, so one
   busy user-day is split over many tasks (see ``functions.buckets``).
+
+The literal steps (pairs, numbered micro dwells, links, gaps-and-islands
+numbers, containment and date-only joins) stay available as operators.
 """
 
 from __future__ import annotations
