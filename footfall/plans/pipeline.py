@@ -2,7 +2,10 @@
 
 Every step reads the previous step's *written* table (shared storage), as the
 original jobs did, which also cuts the lineage between steps: a lost executor
-recomputes at most the current step.  Each write replaces exactly the run
+recomputes at most the current step.  The previous events, input of both the
+origin and the attachment step, are computed once per day and kept as a
+scratch table in the checkpoint folder, so the day's trace is shuffled once
+for them.  Each write replaces exactly the run
 date's partition; its row count is observed during the write (no cache, no
 second pass).
 """
@@ -58,20 +61,44 @@ def run_users(spark: SparkSession, outputs: Outputs, run_date, load_ts, p: Param
     return _write(Q.visit_frequency(dwells, run_date, p, window_mode), outputs, "users", run_date, load_ts)
 
 
-def run_origin(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
-               p: Params = DEFAULT, keep_unknown: bool = False) -> int:
+def _dwells_of_day(spark: SparkSession, outputs: Outputs, run_date) -> DataFrame:
+    return scan_day(read_output(spark, outputs.path("dwells"), "dwells"), run_date)
+
+
+def previous_events_of_day(spark: SparkSession, tables: Tables, outputs: Outputs, run_date,
+                           p: Params = DEFAULT) -> DataFrame:
+    """Trace events in the look-back of each dwell of the day (both the origin and
+    the attachment step start from them)."""
     trace = normalise_trace(scan_day(tables.read_trace(spark), run_date))
-    dwells = scan_day(read_output(spark, outputs.path("dwells"), "dwells"), run_date)
-    out = O.origin(trace, dwells, tables.read_area_cells(spark), p, keep_unknown)
+    return O.previous_events(trace, _dwells_of_day(spark, outputs, run_date), p)
+
+
+def write_previous_events(spark: SparkSession, tables: Tables, outputs: Outputs, run_date,
+                          p: Params = DEFAULT) -> DataFrame:
+    """Compute the previous events once and keep them as a scratch table in the
+    session's checkpoint folder: the trace is shuffled once for both steps."""
+    path = sinks.scratch_table_path(spark, f"previous-events-{run_date}")
+    previous_events_of_day(spark, tables, outputs, run_date, p).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def run_origin(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
+               p: Params = DEFAULT, keep_unknown: bool = False, previous: DataFrame | None = None) -> int:
+    dwells = _dwells_of_day(spark, outputs, run_date)
+    if previous is None:
+        previous = previous_events_of_day(spark, tables, outputs, run_date, p)
+    areas = tables.read_area_cells(spark)
+    top = O.origin_top_cell(O.origin_candidates(previous, areas, p))
+    out = O.visitor_origin(dwells, top, areas, keep_unknown)
     return _write(out, outputs, "origin_msoa", run_date, load_ts)
 
 
 def run_attachment(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
-                   p: Params = DEFAULT) -> int:
-    trace = normalise_trace(scan_day(tables.read_trace(spark), run_date))
-    dwells = scan_day(read_output(spark, outputs.path("dwells"), "dwells"), run_date)
+                   p: Params = DEFAULT, previous: DataFrame | None = None) -> int:
+    dwells = _dwells_of_day(spark, outputs, run_date)
     users = scan_day(read_output(spark, outputs.path("users"), "users"), run_date)
-    previous = O.previous_events(trace, dwells, p)
+    if previous is None:
+        previous = previous_events_of_day(spark, tables, outputs, run_date, p)
     out = A.user_attachment(dwells, users, previous, tables.read_rail_cells(spark),
                             tables.read_time_series(spark), p, run_date=run_date)
     return _write(out, outputs, "users_attachment", run_date, load_ts)
@@ -81,9 +108,11 @@ def run_day(spark: SparkSession, tables: Tables, outputs: Outputs, run_date: str
             load_ts: str | dt.datetime | None = None, p: Params = DEFAULT) -> dict[str, int]:
     """All four jobs for one run date, in dependency order; rows written per table."""
     load_ts = load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    return {
+    counts = {
         "dwells": run_dwells(spark, tables, outputs, run_date, load_ts, p),
         "users": run_users(spark, outputs, run_date, load_ts, p),
-        "origin_msoa": run_origin(spark, tables, outputs, run_date, load_ts, p),
-        "users_attachment": run_attachment(spark, tables, outputs, run_date, load_ts, p),
     }
+    previous = write_previous_events(spark, tables, outputs, run_date, p)
+    counts["origin_msoa"] = run_origin(spark, tables, outputs, run_date, load_ts, p, previous=previous)
+    counts["users_attachment"] = run_attachment(spark, tables, outputs, run_date, load_ts, p, previous=previous)
+    return counts
