@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us, minus_s
 from ..params import DEFAULT, Params
-from ..sources.dimensions import area_cells, area_cells_excluding, checked_broadcast
+from ..sources.dimensions import area_cells, area_cells_excluding, checked_broadcast, fits_broadcast
 from .intervals import bucketed_range_join
 
 US = 1_000_000
@@ -15,14 +15,24 @@ KEYS = ["user_id", "date_dt"]
 PREVIOUS_COLUMNS = ["date_dt", "user_id", "start_dt", "cell_id", "first_event", "last_event"]
 
 
-def previous_events(trace: DataFrame, dwells: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def previous_events(trace: DataFrame, dwells: DataFrame, p: Params = DEFAULT,
+                    prefilter: bool = True) -> DataFrame:
     """Trace events of the user and date in ``(first_event - lookback, first_event)``.
 
     Interval join on ``(user_id, date_dt, time bucket)``: a dwell is copied to
     the (at most two) buckets its look-back touches, an event lives in one.
+
+    The trace holds every user of the network, the dwells only the site's
+    visitors.  With ``prefilter`` the trace is first cut to the visitors'
+    ``(user_id, date_dt)`` by a broadcast semi join -- when that key set passes
+    the broadcast row check -- so only their events are shuffled.
     """
     ev = trace.select("user_id", "date_dt", "start_dt", "cell_id")
     dw = dwells.select("user_id", "date_dt", "first_event", "last_event")
+    if prefilter:
+        visitors = dw.select("user_id", "date_dt").distinct()
+        if fits_broadcast(visitors):
+            ev = ev.join(F.broadcast(visitors), ["user_id", "date_dt"], "left_semi")
     cond = (F.col("p.start_dt") < F.col("r.first_event")) & \
            (F.col("p.start_dt") > minus_s(F.col("r.first_event"), p.lookback_s))
     j = bucketed_range_join(

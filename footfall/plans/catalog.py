@@ -74,19 +74,16 @@ class Inputs:
 
     @cached_property
     def previous(self) -> DataFrame:
-        return O.previous_events(self.trace, self.dwells, self.p)
+        return O.previous_events(self.trace, self.dwells_written, self.p)
 
     def origin(self, keep_unknown: bool = False) -> DataFrame:
-        dw = self.dwells_written
-        prev = O.previous_events(self.trace, dw, self.p)
-        top = O.origin_top_cell(O.origin_candidates(prev, self.fx.area_cell_table(), self.p))
-        return O.visitor_origin(dw, top, self.fx.area_cell_table(), keep_unknown)
+        top = O.origin_top_cell(O.origin_candidates(self.previous, self.fx.area_cell_table(), self.p))
+        return O.visitor_origin(self.dwells_written, top, self.fx.area_cell_table(), keep_unknown)
 
     @cached_property
     def joined(self) -> DataFrame:
         dw = self.dwells_written
-        prev = O.previous_events(self.trace, dw, self.p)
-        flags = A.arrival_flags(prev, self.fx.rail_cell_table(), self.p)
+        flags = A.arrival_flags(self.previous, self.fx.rail_cell_table(), self.p)
         users = Q.visit_frequency(sinks.stamp_by_date(dw, LOAD_TS), RUN_DATE, self.p)
         return A.attachment_joined(dw, users, flags)
 

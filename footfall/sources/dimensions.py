@@ -22,19 +22,26 @@ BROADCAST_MAX_ROWS = 2_000_000
 _VERDICTS: dict[tuple, bool] = {}
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if ``df`` holds at most ``max_rows`` rows (counts at most ``max_rows + 1``).
 
-    The count (of at most ``max_rows + 1`` rows) runs on the dimension; a
-    dimension that has grown past the bound is returned without the hint and is
-    joined by shuffle.  The verdict is kept for the plan and its file listing.
+    The verdict is kept for the plan and its file listing.
     """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows,
            tuple(sorted(df.inputFiles())))
     small = _VERDICTS.get(key)
     if small is None:
         small = _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return small
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
+
+    A dimension that has grown past the bound is returned without the hint and
+    is joined by shuffle.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def site_cells(cells: DataFrame) -> DataFrame:
