@@ -1 +1 @@
-"""footfall."""
+"""DataFrame -> DataFrame operators of the four jobs: dwells, frequency, origin, attachment."""

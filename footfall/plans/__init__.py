@@ -1 +1 @@
-"""footfall."""
+"""Plans over the operators: sinks, the daily pipeline, the named query catalog."""

@@ -1 +1 @@
-"""footfall."""
+"""Streaming entry: a file-stream trigger that runs the daily pipeline per new trace day."""
