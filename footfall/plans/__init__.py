@@ -1 +1 @@
-"""Plans over the operators: sinks, the daily pipeline, the named query catalog."""
+"""Plans over the operators: sinks, the daily run, the named query catalog."""

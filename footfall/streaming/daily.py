@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..params import DEFAULT, Params
-from ..plans.pipeline import Outputs, run_day
+from ..plans.daily_run import Outputs, run_day
 from ..sources.tables import Tables
 
 

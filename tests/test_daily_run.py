@@ -1,4 +1,4 @@
-"""The daily pipeline over Parquet tables written from the sf0.001 fixture."""
+"""The daily run over Parquet tables written from the sf0.001 fixture."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.plans.catalog import QUERIES
-from footfall.plans.pipeline import Outputs, run_day
+from footfall.plans.daily_run import Outputs, run_day
 from footfall.sources.fixtures import Fixture
 from footfall.sources.tables import Tables, read_output
 from footfall.streaming.daily import start_daily_loads
