@@ -1 +1 @@
-"""Streaming entry: a file-stream trigger that runs the daily run per new trace day."""
+"""Streaming entry: a file-stream trigger that runs the daily jobs for each new trace day."""
