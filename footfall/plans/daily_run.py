@@ -94,25 +94,33 @@ def run_origin(spark: SparkSession, tables: Tables, outputs: Outputs, run_date,
 
 
 def run_attachment(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
-                   p: Params = DEFAULT, previous: DataFrame | None = None) -> int:
+                   p: Params = DEFAULT, previous: DataFrame | None = None, zero_fill_rail: bool = False) -> int:
     dwells = _dwells_of_day(spark, outputs, run_date)
     users = scan_day(read_output(spark, outputs.path("users"), "users"), run_date)
     if previous is None:
         previous = previous_events_of_day(spark, tables, outputs, run_date, p)
     out = A.user_attachment(dwells, users, previous, tables.read_rail_cells(spark),
-                            tables.read_time_series(spark), p, run_date=run_date)
+                            tables.read_time_series(spark), p, run_date=run_date, zero_fill_rail=zero_fill_rail)
     return _write(out, outputs, "users_attachment", run_date, load_ts)
 
 
 def run_day(spark: SparkSession, tables: Tables, outputs: Outputs, run_date: str | dt.date,
-            load_ts: str | dt.datetime | None = None, p: Params = DEFAULT) -> dict[str, int]:
-    """All four jobs for one run date, in dependency order; rows written per table."""
+            load_ts: str | dt.datetime | None = None, p: Params = DEFAULT, dwell_mode: str = "contained",
+            window_mode: str = "trailing", keep_unknown_origin: bool = False,
+            zero_fill_rail: bool = False) -> dict[str, int]:
+    """All four jobs for one run date, in dependency order; rows written per table.
+
+    The defaults are the corrected rules; ``dwell_mode="as_reference"`` and
+    ``window_mode="componentwise"`` reproduce the original outputs.
+    """
     load_ts = load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     counts = {
-        "dwells": run_dwells(spark, tables, outputs, run_date, load_ts, p),
-        "users": run_users(spark, outputs, run_date, load_ts, p),
+        "dwells": run_dwells(spark, tables, outputs, run_date, load_ts, p, dwell_mode),
+        "users": run_users(spark, outputs, run_date, load_ts, p, window_mode),
     }
     previous = write_previous_events(spark, tables, outputs, run_date, p)
-    counts["origin_msoa"] = run_origin(spark, tables, outputs, run_date, load_ts, p, previous=previous)
-    counts["users_attachment"] = run_attachment(spark, tables, outputs, run_date, load_ts, p, previous=previous)
+    counts["origin_msoa"] = run_origin(spark, tables, outputs, run_date, load_ts, p, keep_unknown_origin,
+                                       previous=previous)
+    counts["users_attachment"] = run_attachment(spark, tables, outputs, run_date, load_ts, p, previous=previous,
+                                                zero_fill_rail=zero_fill_rail)
     return counts

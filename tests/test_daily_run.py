@@ -81,3 +81,17 @@ def test_stream_trigger_loads_each_new_day(spark, tables, tmp_path):
     q.awaitTermination(300)
     days = {r["day"] for r in read_output(spark, out.path("dwells"), "dwells").select("day").distinct().collect()}
     assert days == {"14", "15"}
+
+
+def test_run_day_original_modes(spark, tables, tmp_path):
+    out = Outputs(str(tmp_path / "out"))
+    counts = run_day(spark, tables, out, DAY, "2024-01-31 06:00:00", dwell_mode="as_reference",
+                     window_mode="componentwise", keep_unknown_origin=True, zero_fill_rail=True)
+    dwells = read_output(spark, out.path("dwells"), "dwells")
+    cols = ["date_dt", "user_id", "first_event", "last_event"]
+    expect = QUERIES["dwells_as_reference"](spark, SF).where(F.col("date_dt") == F.lit(DAY).cast("date"))
+    assert _rows(dwells, cols) == _rows(expect, cols)
+    origin = read_output(spark, out.path("origin_msoa"), "origin_msoa")
+    assert counts["origin_msoa"] == origin.count() == counts["dwells"]
+    att = read_output(spark, out.path("users_attachment"), "users_attachment")
+    assert att.where("rail_trips IS NULL").count() == 0
