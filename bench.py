@@ -57,7 +57,7 @@ def _new_r1(spark, sf_dir):
 def _lit_r2(spark, sf_dir):
     """Links by self-join on (user, date) with counter_2 = counter + 1."""
     i = Inputs(spark, sf_dir)
-    seq = D.micro_sequence(i.micro, i.p)
+    seq = D.micro_sequence(i.micro_written, i.p)
     a, b = seq.alias("a"), seq.alias("b")
     cond = ((F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.date_dt") == F.col("b.date_dt"))
             & (F.col("b.counter") - 1 == F.col("a.counter")) & (F.col("a.last_event") >= F.col("b.first_event")))
@@ -67,7 +67,7 @@ def _lit_r2(spark, sf_dir):
 
 def _new_r2(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return D.macro_links(D.micro_sequence(i.micro, i.p), i.p)
+    return D.macro_links(D.micro_sequence(i.micro_written, i.p), i.p)
 
 
 def _lit_r3(spark, sf_dir):

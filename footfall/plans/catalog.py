@@ -56,13 +56,20 @@ class Inputs:
     def dwells(self) -> DataFrame:
         return D.dwells_from_events(self.site_events, self.p)
 
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once to a scratch table under the checkpoint folder and
+        read back, for queries whose branches all start from it."""
+        path = sinks.scratch_table_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def dwells_written(self) -> DataFrame:
-        """Dwells written once to a scratch table under the checkpoint folder and
-        read back, for queries whose branches all start from the dwells."""
-        path = sinks.scratch_table_path(self.spark, "dwells-shared")
-        self.dwells.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self._written(self.dwells, "dwells-shared")
+
+    @cached_property
+    def micro_written(self) -> DataFrame:
+        return self._written(self.micro, "micro-shared")
 
     @cached_property
     def dwells_table(self) -> DataFrame:
@@ -122,12 +129,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "micro_pairs": _dense(lambda i: D.micro_pairs(i.site_events, i.p)),
     "micro_first_event": _dense(lambda i: D.micro_first_events(i.site_events, i.p)),
     "micro_dwells": _dense(lambda i: i.micro),
-    "micro_sequence": _dense(lambda i: D.micro_sequence(i.micro, i.p)),
-    "macro_links": _dense(lambda i: D.macro_links(D.micro_sequence(i.micro, i.p), i.p)),
-    "macro_islands": _dense(lambda i: D.macro_islands(D.macro_links(D.micro_sequence(i.micro, i.p), i.p), i.p)),
+    "micro_sequence": _dense(lambda i: D.micro_sequence(i.micro_written, i.p)),
+    "macro_links": _dense(lambda i: D.macro_links(D.micro_sequence(i.micro_written, i.p), i.p)),
+    "macro_islands": _dense(
+        lambda i: D.macro_islands(D.macro_links(D.micro_sequence(i.micro_written, i.p), i.p), i.p)),
     "macro_dwells": _dense(lambda i: D.macro_dwells_from_events(i.site_events, i.p)),
     "dwells_contained": _dense(lambda i: D.resolve_contained(
-        i.micro, D.macro_dwells_from_events(i.site_events, i.p), i.p)),
+        i.micro_written, D.macro_dwells(i.micro_written, i.p), i.p)),
     "dwells_as_reference": _dense(lambda i: D.dwells(i.site_events, "as_reference", i.p)),
     "dwells_islands": _dense(lambda i: i.dwells),
     "dwells_of_day": _dense(lambda i: scan_day(i.dwells_table, RUN_DAY)),
