@@ -60,5 +60,6 @@ def day_parts(date_col: Column | str) -> dict[str, Column]:
 
 def partition_date(year: Column | str = "year", month: Column | str = "month",
                    day: Column | str = "day") -> Column:
-    """Date from the three text partition columns."""
-    return F.make_date(col_(year).cast("int"), col_(month).cast("int"), col_(day).cast("int"))
+    """Date from the three text partition columns (a malformed value gives null,
+    so that partition is not selected, instead of failing the scan)."""
+    return F.make_date(col_(year).try_cast("int"), col_(month).try_cast("int"), col_(day).try_cast("int"))
