@@ -100,3 +100,25 @@ def test_partition_sizing(spark):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionFactor")
+
+
+@pytest.mark.parametrize("width_s, how", [(60, "inner"), (600, "left"), (7200, "left"), (45, "inner")])
+def test_bucketed_range_join_equals_plain_join(spark, width_s, how):
+    from footfall.operators.intervals import bucketed_range_join
+    rnd = random.Random(width_s)
+    base = dt.datetime(2024, 1, 15)
+    points = [(rnd.randrange(3), base + dt.timedelta(seconds=rnd.randrange(7200))) for _ in range(400)]
+    points += points[:20]                                     # duplicates keep their multiplicity
+    ranges = []
+    for _ in range(120):
+        lo = rnd.randrange(7200)
+        ranges.append((rnd.randrange(3), base + dt.timedelta(seconds=lo),
+                       base + dt.timedelta(seconds=lo + rnd.randrange(1, 1800))))
+    p = spark.createDataFrame(points, "k bigint, t timestamp_ntz")
+    r = spark.createDataFrame(ranges, "k bigint, lo timestamp_ntz, hi timestamp_ntz")
+    cond = (F.col("p.t") >= F.col("r.lo")) & (F.col("p.t") <= F.col("r.hi"))
+    got = bucketed_range_join(p, r, ["k"], epoch_us("t"), epoch_us("lo"), epoch_us("hi"),
+                              width_s * 10**6, cond, how).select("p.k", "p.t", "r.lo", "r.hi")
+    plain = p.alias("p").join(r.alias("r"), (F.col("p.k") == F.col("r.k")) & cond, how) \
+        .select("p.k", "p.t", "r.lo", "r.hi")
+    _same(got, plain)
