@@ -8,6 +8,10 @@ driver); the set runs $BENCH_PASSES times (default 3) and each query reports
 its fastest run.  ``value``
 sums the headline queries (the four daily outputs plus the dwell steps);
 ``compare`` times each rewrite R1-R7 next to its literal join form.
+
+The trace the jobs read is derived from ``events`` and written once per session
+as a day-partitioned Parquet table (``sources/fixtures.py``), as it would be
+stored in production; that one-time conversion falls in the first pass.
 """
 
 from __future__ import annotations

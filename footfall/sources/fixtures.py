@@ -15,11 +15,13 @@ Mappings:
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.timecols import day_parts, plus_s, truncate_seconds
 
 
@@ -68,6 +70,19 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+# Derived trace tables already written in this session: key -> folder.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _events_identity(sf_dir: str) -> tuple:
+    path = f"{sf_dir}/events.parquet"
+    try:
+        st = os.stat(path)
+        return (path, st.st_size, st.st_mtime_ns)
+    except OSError:            # not a local path: identify by name only
+        return (path,)
+
+
 class Fixture:
     """Driver tables -> trace and dimension tables of one mapping."""
 
@@ -88,7 +103,26 @@ class Fixture:
         return k % self.m.cell_mod if self.m.cell_mod else k
 
     def raw_trace(self) -> DataFrame:
-        """``imsi, start_timestamp, end_timestamp, start/end_source_cell_id, year, month, day``."""
+        """The trace as the jobs read it: a ``year/month/day`` partitioned Parquet
+        table with the declared trace schema.
+
+        It is derived from ``events`` once per session (and per version of the
+        events file) and written under the session's checkpoint folder, so every
+        query scans a real day-partitioned table (partition pruning, one split
+        per day) rather than re-deriving the trace inside its own plan.
+        """
+        from ..plans.sinks import scratch_table_path   # plans depend on sources, not the reverse at import
+        key = (self.spark.sparkContext.applicationId, self.m.name, _events_identity(self.sf_dir))
+        path = _WRITTEN.get(key)
+        if path is None:
+            path = scratch_table_path(self.spark, f"trace-{self.m.name}")
+            self.derived_trace().write.partitionBy("year", "month", "day").parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.schema(schemas.TRACE).option("basePath", path).parquet(path)
+
+    def derived_trace(self) -> DataFrame:
+        """``imsi, start_timestamp, end_timestamp, start/end_source_cell_id, year, month, day``
+        computed from ``events`` (the rules of the mapping)."""
         # Parse and truncate once; the CASE columns below only reference the results.
         ev = _events(self.spark, self.sf_dir).select(
             "event_id", self._user().alias("imsi"),
