@@ -88,12 +88,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; create a private one only when unset.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (shared storage).
-    Only a session without one (tests, local runs) gets a fresh temporary folder.
+    Only a session without one (tests, local runs) gets a fresh temporary folder,
+    set on the SparkContext (the conf key itself is fixed at startup).
     """
     current = checkpoint_dir(spark)
     if current is None:
         current = tempfile.mkdtemp(prefix="footfall-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -41,3 +41,31 @@ def test_overwrite_replaces_only_its_day(spark, tmp_path):
     summary = {r["day"]: r["record_count"] for r in sinks.load_summary(back).collect()}
     assert summary == {"01": 1, "02": 1}
     assert scan_day(back, "2024-01-02").where(F.col("user_id") == 3).count() == 1
+
+
+def test_checkpoint_dir_created_only_when_unset(tmp_path):
+    from footfall.session import ensure_checkpoint_dir
+
+    class _Ctx:
+        def __init__(self, d):
+            self.d = d
+
+        def getCheckpointDir(self):
+            return self.d
+
+        def setCheckpointDir(self, d):
+            self.d = d
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        def __init__(self, d):
+            self.sparkContext, self.conf = _Ctx(d), _Conf()
+
+    shared = str(tmp_path / "shared")
+    assert ensure_checkpoint_dir(_Session(shared)) == shared          # named by the cluster: kept
+    fresh = _Session(None)
+    made = ensure_checkpoint_dir(fresh)
+    assert made and fresh.sparkContext.getCheckpointDir() == made     # unset: private folder
