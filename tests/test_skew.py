@@ -51,3 +51,14 @@ def test_hot_attachment(hot, con):
     from footfall.operators import attachment as A
     _check(A.attachment_final(A.band_occupancy(hot.joined, hot.fx.time_series_table(), hot.p)), con,
            "attachment_final")
+
+
+def test_hot_user_window_groups_are_a_fraction_of_its_day(hot):
+    from pyspark.sql import functions as F
+
+    from footfall.operators import dwell as D
+    stage = D.event_stage(hot.site_events, hot.p).where("user_id = 0")
+    biggest_group = stage.groupBy("date_dt", "_bucket").count().agg(F.max("count")).first()[0]
+    busiest_day = hot.site_events.where("user_id = 0").groupBy("date_dt").count().agg(F.max("count")).first()[0]
+    # A group holds its 2 h bucket plus 90 min before and 45 min after: ~255/1440 of a day.
+    assert biggest_group <= 0.3 * busiest_day, (biggest_group, busiest_day)
