@@ -41,6 +41,11 @@ class Params:
             raise ValueError("bucket_s must be >= micro_max_gap_s")
         if self.micro_min_gap_s > self.micro_max_gap_s:
             raise ValueError("micro_min_gap_s must be <= micro_max_gap_s")
+        # Rail trips are read from the previous-event pairs instead of joining the
+        # rail events back to every dwell; that is exact while the rail window
+        # lies inside the look-back.
+        if self.rail_recent_s > self.lookback_s:
+            raise ValueError("rail_recent_s must be <= lookback_s")
 
 
 DEFAULT = Params()

@@ -61,3 +61,11 @@ def test_dwell_modes_through_one_entry_point(spark):
     i = Inputs(spark, SF)
     assert D.dwells(i.site_events, "contained", i.p).count() == 1298
     assert D.dwells(i.site_events, "as_reference", i.p).where(F.col("user_id").isNotNull()).count() == 2882
+
+
+def test_params_reject_rail_window_beyond_lookback():
+    from footfall.params import Params
+    with pytest.raises(ValueError):
+        Params(rail_recent_s=3 * 3600)
+    with pytest.raises(ValueError):
+        Params(bucket_s=60)
