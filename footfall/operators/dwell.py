@@ -60,8 +60,10 @@ def _clean(events: DataFrame) -> DataFrame:
 def micro_pairs(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """All ``(time_1, time_2)`` pairs of one user-day with ``time_2`` 45..1 min before.
 
-    The literal pairing, kept as an operator; its output grows with the square
-    of the events per 45 minutes.  Joined per time bucket, not per user-day.
+    The literal pairing step of the original job, kept as an operator; by
+    definition its output grows with the square of a user's events per 45
+    minutes, so no other operator uses it (dwells take the range-frame window
+    of ``event_stage``).  Joined per time bucket, not per user-day.
     """
     ev = _clean(events).withColumn("_us", epoch_us("start_dt"))
     cond = ((F.col("p.start_dt") >= F.col("r.start_dt") - F.expr(f"INTERVAL '{p.micro_max_gap_s}' SECOND"))

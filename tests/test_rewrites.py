@@ -122,3 +122,23 @@ def test_bucketed_range_join_equals_plain_join(spark, width_s, how):
     plain = p.alias("p").join(r.alias("r"), (F.col("p.k") == F.col("r.k")) & cond, how) \
         .select("p.k", "p.t", "r.lo", "r.hi")
     _same(got, plain)
+
+
+@pytest.mark.parametrize("width, back, ahead", [(100, 30, 0), (100, 250, 40), (60, 0, 60), (10, 35, 5)])
+def test_with_halo_copies_exactly_the_needed_buckets(spark, width, back, ahead):
+    from footfall.functions.buckets import with_halo
+    rnd = random.Random(width + back)
+    values = [rnd.randrange(0, 2000) for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, _us long")
+    got = {(r["id"], r["_bucket"], r["_own"]) for r in with_halo(df, "_us", width, back, ahead).collect()}
+    want = set()
+    for i, v in enumerate(values):
+        own = v // width
+        for b in range((v - ahead) // width, (v + back) // width + 1):
+            want.add((i, b, b == own))
+    assert got == want
+    # each row keeps exactly one own copy; a copy in bucket b is within the halo of b's rows
+    assert sum(1 for (_, _, o) in got if o) == len(values)
+    for i, b, o in got:
+        v = values[i]
+        assert o or (b * width - back <= v < b * width) or ((b + 1) * width <= v < (b + 1) * width + ahead)
