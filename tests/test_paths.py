@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from footfall.sources import dimensions as dims
 from footfall.sources.trace import trailing_window
 
 SF = "/root/testdata/sf0.01"
+needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 
 
 def _same(a, b):
@@ -29,6 +31,7 @@ def test_broadcast_check_falls_back_when_too_large(spark):
     assert plan.count() == 3                      # still joins, without the hint
 
 
+@needs_data
 def test_previous_events_with_and_without_prefilter(spark):
     i = Inputs(spark, SF)
     with_pf = O.previous_events(i.trace, i.dwells_written, i.p, prefilter=True)
@@ -37,6 +40,7 @@ def test_previous_events_with_and_without_prefilter(spark):
     assert with_pf.count() == 1789
 
 
+@needs_data
 def test_origin_helper_matches_catalog(spark):
     i = Inputs(spark, SF)
     _same(O.origin(i.trace, i.dwells_written, i.fx.area_cell_table(), i.p), i.origin())
@@ -57,6 +61,7 @@ def test_unknown_modes_raise(spark):
         trailing_window(df, "2024-01-31", 30, mode="nope")
 
 
+@needs_data
 def test_dwell_modes_through_one_entry_point(spark):
     i = Inputs(spark, SF)
     assert D.dwells(i.site_events, "contained", i.p).count() == 1298
