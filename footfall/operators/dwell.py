@@ -115,8 +115,16 @@ def event_stage(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def micro_first_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """``(date_dt, user_id, time_1, first_event)``: earliest partner of each event time."""
-    return (event_stage(events, p)
+    """``(date_dt, user_id, time_1, first_event)``: earliest partner of each event time.
+
+    Only the range-frame ``min`` is needed here, so the halo is the 45 min
+    look-back alone (``event_stage`` carries more for the chain flags).
+    """
+    gap, min_gap = p.micro_max_gap_s * US, p.micro_min_gap_s * US
+    ev = _clean(events).withColumn("_us", epoch_us("start_dt"))
+    x = with_halo(ev, "_us", p.bucket_s * US, back_us=gap)
+    w = Window.partitionBy(*KEYS, BUCKET).orderBy("_us").rangeBetween(-gap, -min_gap)
+    return (x.withColumn("first_event", F.min("start_dt").over(w))
             .where(F.col(OWN) & F.col("first_event").isNotNull())
             .select("date_dt", "user_id", F.col("start_dt").alias("time_1"), "first_event")
             .distinct())
