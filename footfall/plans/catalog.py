@@ -136,7 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "macro_dwells": _dense(lambda i: D.macro_dwells_from_events(i.site_events, i.p)),
     "dwells_contained": _dense(lambda i: D.resolve_contained(
         i.micro_written, D.macro_dwells(i.micro_written, i.p), i.p)),
-    "dwells_as_reference": _dense(lambda i: D.dwells(i.site_events, "as_reference", i.p)),
+    "dwells_as_reference": _dense(lambda i: D.resolve_as_reference(
+        i.micro_written, D.macro_dwells(i.micro_written, i.p), i.p)),
     "dwells_islands": _dense(lambda i: i.dwells),
     "dwells_of_day": _dense(lambda i: scan_day(i.dwells_table, RUN_DAY)),
     # visit frequency

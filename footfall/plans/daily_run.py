@@ -48,11 +48,24 @@ def _write(df: DataFrame, outputs: Outputs, name: str, run_date, load_ts) -> int
     return int(obs.get["n"])
 
 
+def _scratch(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the checkpoint folder and read it back (used twice)."""
+    path = sinks.scratch_table_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_dwells(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
                p: Params = DEFAULT, mode: str = "contained") -> int:
     trace = normalise_trace(scan_day(tables.read_trace(spark), run_date))
     site = D.events_at_site(trace, tables.read_site_cells(spark))
-    return _write(D.dwells(site, mode, p), outputs, "dwells", run_date, load_ts)
+    if mode == "as_reference":
+        # Micro dwells feed both the macro dwells and the date-only join: compute once.
+        micro = _scratch(spark, D.micro_dwells(site, p), f"micro-dwells-{run_date}")
+        out = D.resolve_as_reference(micro, D.macro_dwells(micro, p), p)
+    else:
+        out = D.dwells(site, mode, p)
+    return _write(out, outputs, "dwells", run_date, load_ts)
 
 
 def run_users(spark: SparkSession, outputs: Outputs, run_date, load_ts, p: Params = DEFAULT,
@@ -77,9 +90,8 @@ def write_previous_events(spark: SparkSession, tables: Tables, outputs: Outputs,
                           p: Params = DEFAULT) -> DataFrame:
     """Compute the previous events once and keep them as a scratch table in the
     session's checkpoint folder: the trace is shuffled once for both steps."""
-    path = sinks.scratch_table_path(spark, f"previous-events-{run_date}")
-    previous_events_of_day(spark, tables, outputs, run_date, p).write.parquet(path)
-    return spark.read.parquet(path)
+    return _scratch(spark, previous_events_of_day(spark, tables, outputs, run_date, p),
+                    f"previous-events-{run_date}")
 
 
 def run_origin(spark: SparkSession, tables: Tables, outputs: Outputs, run_date, load_ts,
