@@ -95,3 +95,24 @@ def test_run_day_original_modes(spark, tables, tmp_path):
     assert counts["origin_msoa"] == origin.count() == counts["dwells"]
     att = read_output(spark, out.path("users_attachment"), "users_attachment")
     assert att.where("rail_trips IS NULL").count() == 0
+
+
+def test_stream_trigger_loads_new_days_once(spark, tables, tmp_path):
+    import time
+    out = Outputs(str(tmp_path / "out"))
+    landing = str(tmp_path / "landing")
+    ckpt = str(tmp_path / "ckpt")
+    src = spark.read.parquet(tables.trace)
+    src.where("day = '14'").write.partitionBy("year", "month", "day").parquet(landing)
+    t2 = Tables(landing, tables.site_cells, tables.area_cells, tables.rail_cells, tables.time_series)
+    start_daily_loads(spark, t2, out, ckpt).awaitTermination(300)
+    first = {r["day"]: r["ts"] for r in read_output(spark, out.path("dwells"), "dwells")
+             .groupBy("day").agg(F.max("load_timestamp").alias("ts")).collect()}
+    assert set(first) == {"14"}
+    time.sleep(1.1)                                  # load timestamps are whole seconds
+    src.where("day = '15'").write.mode("append").partitionBy("year", "month", "day").parquet(landing)
+    start_daily_loads(spark, t2, out, ckpt).awaitTermination(300)
+    second = {r["day"]: r["ts"] for r in read_output(spark, out.path("dwells"), "dwells")
+              .groupBy("day").agg(F.max("load_timestamp").alias("ts")).collect()}
+    assert set(second) == {"14", "15"}
+    assert second["14"] == first["14"]               # day 14 was not loaded again
