@@ -186,3 +186,37 @@ def test_commuter_threshold(spark):
             [(1, ts(f"2024-01-{d + 1:02d} 10:00:00").date()) for d in range(n)], "user_id bigint, date_dt date")
     assert Q.user_frequency(dwells(6)).collect()[0]["commuters"] == 0
     assert Q.user_frequency(dwells(7)).collect()[0]["commuters"] == 1
+
+
+@pytest.mark.parametrize("run_date", [None, "2024-01-15"])
+def test_band_join_irregular_bands_vs_theta_join(spark, run_date):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+    rnd = random.Random(7)
+    times = sorted({f"{h:02d}:{m:02d}:{s:02d}" for h, m, s in
+                    [(rnd.randrange(24), rnd.randrange(60), rnd.randrange(60)) for _ in range(40)]}
+                   | {"00:00:00", "23:59:59", "12:00:00"})
+    series = spark.createDataFrame([(t,) for t in times], "ts string")
+    rows_ = []
+    for k in range(60):
+        day = dt.date(2024, 1, 14 + k % 3)
+        first = dt.datetime.combine(day, dt.time()) + dt.timedelta(seconds=rnd.randrange(86400))
+        last = min(first + dt.timedelta(seconds=rnd.randrange(60, 6 * 3600)),
+                   dt.datetime.combine(day, dt.time(23, 59, 59)))
+        rows_.append((k, day, first, last))
+    dw = spark.createDataFrame(rows_, "user_id bigint, date_dt date, first_event timestamp_ntz, "
+                                      "last_event timestamp_ntz")
+    got = A.band_occupancy(dw, series, run_date=run_date)
+    day_col = F.lit(run_date) if run_date else F.col("date_dt").cast("string")
+    bands = series.select(F.col("ts").alias("band"))
+    brute = (dw.join(bands, how="cross")    # brute-force check only
+             .withColumn("ts", F.concat(day_col, F.lit(" "), "band").try_cast("timestamp_ntz"))
+             .where((F.col("ts") > F.col("first_event"))
+                    & (F.col("last_event") > F.col("ts") - F.expr("INTERVAL 14 MINUTES")))
+             .drop("band"))
+    cols = ["user_id", "date_dt", "first_event", "last_event", "ts"]
+    assert got.select(*cols).exceptAll(brute.select(*cols)).count() == 0
+    assert brute.select(*cols).exceptAll(got.select(*cols)).count() == 0
+    assert got.count() > 0
