@@ -2,14 +2,16 @@
 
 All of them are dimensions: their size is bounded by the number of network
 cells (or bands per day), not by the trace, which is what makes broadcasting
-them safe.  ``checked_broadcast`` still verifies the bound before hinting.
+them safe.  ``checked_broadcast`` still verifies the bound before hinting, and
+``fits_broadcast`` guards data-derived sets as well (the day's visitors, used
+to cut the trace before the look-back join).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A broadcast side must stay below this many rows; beyond it the join falls
@@ -73,7 +75,7 @@ def band_timestamps(series: DataFrame, run_date: str | dt.date) -> DataFrame:
         F.concat(F.lit(str(run_date)), F.lit(" "), F.col("ts")).try_cast("timestamp_ntz").alias("ts"))
 
 
-def band_hour(ts_text: str = "ts") -> "F.Column":
+def band_hour(ts_text: str = "ts") -> Column:
     """Hour of day (0..23) of a band given as ``HH:mm:ss`` text."""
     return F.hour(F.concat(F.lit("1970-01-01 "), F.col(ts_text)).try_cast("timestamp_ntz"))
 
