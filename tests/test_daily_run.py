@@ -116,3 +116,26 @@ def test_stream_trigger_loads_new_days_once(spark, tables, tmp_path):
               .groupBy("day").agg(F.max("load_timestamp").alias("ts")).collect()}
     assert set(second) == {"14", "15"}
     assert second["14"] == first["14"]               # day 14 was not loaded again
+
+
+def test_stream_trigger_reloads_a_day_when_late_files_land(spark, tables, tmp_path):
+    import time
+    out = Outputs(str(tmp_path / "out"))
+    landing = str(tmp_path / "landing")
+    ckpt = str(tmp_path / "ckpt")
+    day14 = spark.read.parquet(tables.trace).where("day = '14'")
+    early, late = day14.where("imsi % 2 = 0"), day14.where("imsi % 2 = 1")
+    early.write.partitionBy("year", "month", "day").parquet(landing)
+    t2 = Tables(landing, tables.site_cells, tables.area_cells, tables.rail_cells, tables.time_series)
+    start_daily_loads(spark, t2, out, ckpt).awaitTermination(300)
+    first = read_output(spark, out.path("dwells"), "dwells").count()
+    time.sleep(1.1)
+    late.write.mode("append").partitionBy("year", "month", "day").parquet(landing)
+    start_daily_loads(spark, t2, out, ckpt).awaitTermination(300)
+    dwells = read_output(spark, out.path("dwells"), "dwells")
+    expect = QUERIES["dwells_islands"](spark, SF).where(F.col("date_dt") == F.lit("2024-01-14").cast("date"))
+    cols = ["date_dt", "user_id", "first_event", "last_event"]
+    # The whole day was recomputed from all its files, replacing the first load.
+    assert _rows(dwells, cols) == _rows(expect, cols)
+    assert dwells.select("load_timestamp").distinct().count() == 1
+    assert dwells.count() >= first

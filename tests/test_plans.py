@@ -26,10 +26,13 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
-def test_no_nested_loop_or_cartesian(spark, name):
+def test_no_nested_loop_cartesian_or_python(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
+    for python_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                        "FlatMapCoGroupsInPandas", "AggregateInPandas"):
+        assert python_node not in plan          # everything stays in the JVM
 
 
 def test_day_scan_and_window_prune_partitions(spark, tmp_path):
