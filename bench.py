@@ -177,7 +177,8 @@ def main() -> None:
     # first pass also pays JIT compilation and file listing).
     times: dict[str, float] = {}
     compare: dict[str, float] = {}
-    for _ in range(int(os.environ.get("BENCH_PASSES", "3"))):
+    passes = int(os.environ.get("BENCH_PASSES", "3"))
+    for _ in range(passes):
         for name in HEADLINE:
             times[name] = min(times.get(name, float("inf")), run(spark, QUERIES[name], sf_dir))
         for name, fn in COMPARE.items():
@@ -190,6 +191,8 @@ def main() -> None:
         "queries": times,
         "compare": compare,
         "sf": float(m.group(1)) if m else sf_dir,
+        "cpus": cpus,
+        "passes": passes,
     }
     print(json.dumps(out))
     spark.stop()
