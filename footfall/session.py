@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +74,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -97,3 +99,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package (once per application).
+
+    Functions that run in Python workers are pickled by their module's name, so the workers
+    must be able to import it; a zip of the sources goes through Spark's own file server.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="footfall-zip-")), "footfall.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f),
+                            os.path.join("footfall", os.path.relpath(os.path.join(folder, f), package)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
