@@ -27,7 +27,7 @@ import hashlib
 import heapq
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 #: Fixed value of this tokenizer family: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Short units that a worker remembers, in each of two generations, and their longest.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 500_000
 CACHED_CHARS = 48
 ID_BITS, ID_MASK, NEVER = 24, (1 << 24) - 1, 1 << 62
 
@@ -200,43 +200,77 @@ def units(text: str) -> list[str]:
     return out
 
 
-class CachedEncoder:
-    """Encodes texts by units and remembers short ones: those of the current generation, and
-    of the one before it, which is dropped when the current one is full."""
-
-    def __init__(self, merges: MergeList):
-        self.merges = merges
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        known, out = self.known, []
-        for u in units(text):
-            ids = known.get(u)
-            if ids is None:
-                ids = self.missing(u)
-                known = self.known
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.uint32)
-
-    def missing(self, unit: str) -> bytes:
-        ids = self.older.get(unit)
-        if ids is None:
-            ids = array("I", self.merges.encode(unit)).tobytes()
-        if len(unit) <= CACHED_CHARS:
-            if len(self.known) >= CACHE_ENTRIES:
-                self.known, self.older = {}, self.known
-            self.known[unit] = ids
-        return ids
-
-
-_ENCODERS: dict[str, CachedEncoder] = {}
-
-
-def encoder(path: str) -> CachedEncoder:
+class UnitEncoder:
+    """Encodes texts by units and remembers the ids of short ones.
+
+    ``encode_many`` gives the ids of each of some strings as bytes of unsigned 32-bit integers.
+    Units are looked up by what follows their space, which ``str.split`` gives; a text with
+    other white space beside its spaces goes through ``units``.  What is remembered is the
+    current generation and the one before it, which is dropped when the current one is full.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
+        self.encode_many = encode_many
+        self.after_space: dict[str, bytes] = {}
+        self.whole: dict[str, bytes] = {}
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (null: empty)."""
+        if len(self.after_space) + len(self.whole) >= CACHE_ENTRIES:
+            self.older = (self.after_space, self.whole)
+            self.after_space, self.whole = {}, {}
+        after_space, whole = self.after_space, self.whole
+        parts_older, whole_older = self.older
+        plans, ask_parts, ask_whole = [], {}, {}
+        for text in texts.to_pylist():
+            first, *parts = (text or "").split(" ")
+            plain = not parts or bool(first) and not first[-1].isspace()
+            found = list(map(after_space.get, parts)) if plain else []
+            gaps = []
+            if None in found:
+                for i, ids in enumerate(found):
+                    if ids is None:
+                        p = parts[i]
+                        if not p or p[0].isspace() or p[-1].isspace():
+                            plain = False
+                            break
+                        if (ids := parts_older.get(p)) is not None:
+                            after_space[p] = found[i] = ids
+                        else:
+                            ask_parts[p] = None
+                            gaps.append((i, p))
+            plan = [first] if plain else units(text)
+            for u in plan:
+                if u not in whole:
+                    if (ids := whole_older.get(u)) is not None:
+                        whole[u] = ids
+                    else:
+                        ask_whole[u] = None
+            plans.append((plan, found, gaps) if plain else (plan, [], []))
+        asked = self.encode_many([*(" " + p for p in ask_parts), *ask_whole])
+        after_space |= zip(ask_parts, asked)
+        whole |= zip(ask_whole, asked[len(ask_parts):])
+        out = []
+        for plan, found, gaps in plans:
+            for i, p in gaps:
+                found[i] = after_space[p]
+            out.append(np.frombuffer(b"".join([*map(whole.__getitem__, plan), *found]), np.uint32))
+        for known, new in ((after_space, ask_parts), (whole, ask_whole)):
+            for u in new:
+                if len(u) > CACHED_CHARS:
+                    del known[u]
+        return out
+
+
+_ENCODERS: dict[str, UnitEncoder] = {}
+
+
+def encoder(path: str) -> UnitEncoder:
     """The worker's encoder of a tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = CachedEncoder(merge_list(path))
+        merges = merge_list(path)
+        _ENCODERS[path] = UnitEncoder(lambda strings: [array("I", merges.encode(u)).tobytes() for u in strings])
     return _ENCODERS[path]
 
 
@@ -253,7 +287,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: list[str] = ["doc_id
     def run(batches):
         enc = encoder(tokenizer)
         for b in batches:
-            ids = [enc(t or "").astype(np.int32) for t in b.column(len(keep)).to_pylist()]
+            ids = [x.astype(np.int32) for x in enc(b.column(len(keep)))]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -286,8 +320,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str, keep: list[str] = ["doc_
         decimal = {i: str(i) for i in merges.token_bytes}
         for b in batches:
             n, coded, decoded = [], [], []
-            for t in b.column(len(keep)).to_pylist():
-                ids = enc(t or "")
+            for ids in enc(b.column(len(keep))):
                 n.append(len(ids))
                 coded.append(hashlib.sha256(",".join([decimal[i] for i in ids.tolist()]).encode()).hexdigest())
                 digest = hashlib.sha256()

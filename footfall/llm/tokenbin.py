@@ -24,7 +24,9 @@ are ordered by text, a null ``doc_id`` comes first; an empty table gives no bloc
 from __future__ import annotations
 
 import math
+import os
 import zlib
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_ENTRIES, CACHED_CHARS, units
+from .bpe import UnitEncoder, byte_alphabet, merge_list
 from .common import shuffle_partitions
 
 BLOCK_IDS = 1 << 15
@@ -73,49 +75,34 @@ def unpack(payload: bytes, bits: int, offset: int, n: int) -> np.ndarray:
     return ids.reshape(-1)[offset - 64 * first:offset - 64 * first + n]
 
 
-class LibraryEncoder:
-    """Encodes texts with the ``tokenizers`` library, unit by unit (see ``bpe.units``), and
-    remembers short units in two generations."""
+_ENCODERS: dict[str, tuple[UnitEncoder, int]] = {}
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [units(t) for t in texts]
-        known, older = self.known, self.older
-        new = list({u for us in cut for u in us if u not in known})
-        known = {}  # what this batch needs
-        ask = []
-        for u in new:
-            if u in older:
-                known[u] = older[u]
-            else:
-                ask.append(u)
-        for u, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-            known[u] = np.array(e.ids, np.uint32).tobytes()
-        if len(self.known) >= CACHE_ENTRIES:
-            self.known, self.older = {}, self.known
-            known |= {u: older for us in cut for u in us if (older := self.older.get(u)) is not None}
-        long = {u: ids for u, ids in known.items() if len(u) > CACHED_CHARS}
-        self.known |= known
-        out = [np.frombuffer(b"".join([self.known[u] for u in us]), np.uint32) for us in cut]
-        for u in long:
-            del self.known[u]
-        return out
-
-
-_ENCODERS: dict[str, LibraryEncoder] = {}
-
-
-def _encoder(path: str) -> LibraryEncoder:
+def library_encoder(path: str) -> tuple[UnitEncoder, int]:
+    """The worker's encoder by the ``tokenizers`` library, and the size of its vocabulary."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = LibraryEncoder(path)
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+
+        merges = merge_list(path)
+        shown = {byte: char for char, byte in byte_alphabet().items()}
+        pattern, model, specials = merges.pattern, tokenizer.model.tokenize, list(merges.specials)
+
+        def encode_one(unit: str) -> bytes:
+            """The library's merges for each pre-token; the whole library for special strings."""
+            if any(s in unit for s in specials):
+                return array("I", tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+            return array("I", [t.id for p in pattern.findall(unit) for t in model(
+                p.encode().decode("latin-1").translate(shown))]).tobytes()
+
+        def encode_many(strings: list[str]) -> list[bytes]:
+            return list(map(encode_one, strings))
+
+        _ENCODERS[path] = UnitEncoder(encode_many), tokenizer.get_vocab_size(with_added_tokens=True)
     return _ENCODERS[path]
 
 
@@ -126,8 +113,8 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int | None = 0, block_
     shards = shards or shuffle_partitions(spark)
 
     def run(batches):
-        enc = _encoder(tokenizer)
-        bits = width(enc.tokenizer.get_vocab_size(with_added_tokens=True))
+        enc, vocabulary = library_encoder(tokenizer)
+        bits = width(vocabulary)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         held, index, size = [], [], 0
@@ -141,7 +128,7 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int | None = 0, block_
             return record
 
         for b in batches:
-            for doc_id, ids in zip(b.column(0).to_pylist(), enc([t or "" for t in b.column(1).to_pylist()])):
+            for doc_id, ids in zip(b.column(0).to_pylist(), enc(b.column(1))):
                 index.append({"doc_id": doc_id, "offset": size, "n_tokens": len(ids) + len(end)})
                 held += [ids, end]
                 size += len(ids) + len(end)
@@ -189,9 +176,10 @@ def read_documents(spark: SparkSession, path: str, digest: Callable[[np.ndarray]
     def run(batches):
         for b in batches:
             for block in b.to_pylist():
-                rows = []
+                rows, size = [], sum(d["n_tokens"] for d in block["docs"])
+                every = unpack(block["payload"], block["bits"], 0, size)
                 for d in block["docs"]:
-                    ids = unpack(block["payload"], block["bits"], d["offset"], d["n_tokens"])
+                    ids = every[d["offset"]:d["offset"] + d["n_tokens"]]
                     rows.append({"doc_id": d["doc_id"], "start": block["first"] + d["offset"],
                                  "n_tokens": d["n_tokens"],
                                  last.split()[0]: digest(ids) if digest else ids.astype(np.int32)})
