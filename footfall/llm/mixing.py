@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, text_of, written
 
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
 RANGES = 1 << 40  # values of a key
 
 
