@@ -20,7 +20,7 @@ features have likeness 1 to texts with the same fingerprint and 0 to any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD
@@ -35,16 +35,11 @@ CHUNK = 127
 
 
 def _sum(values: Column, term) -> Column:
-    """Sum of ``term`` of each value, modulo 2**32 in both halves of a long."""
     return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + term(x))
 
 
-def _bits(j: int):
-    return lambda h: F.shiftrightunsigned(h, j).bitwiseAND(F.lit(EIGHT))
-
-
-def _counter(k: int):
-    return lambda c: F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(0xFF))
+def _shifted(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftrightunsigned", value, bits)
 
 
 def _chunks(values: Column) -> Column:
@@ -52,15 +47,6 @@ def _chunks(values: Column) -> Column:
                        lambda at: F.slice(values, at, CHUNK))
 
 
-def _counters(chunks: Column, j: int) -> Column:
-    return F.transform(chunks, lambda c: _sum(c, _bits(j)))
-
-
-def _half(low: bool, i: int):
-    value = (lambda h: F.element_at(h, i + 1)) if low else (lambda h: F.shiftrightunsigned(F.element_at(h, i + 1), 32))
-    return lambda h: value(h).bitwiseAND(F.lit(MASK))
-
-
 def features(paragraphs: Column) -> Column:
     """64-bit hashes of every word with its next word, paragraph by paragraph."""
     def of(paragraph: Column) -> Column:
@@ -76,26 +62,37 @@ def paragraphs_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def with_fingerprints(df, texts: dict[str, str]):
-    """Add a fingerprint column per text column: ``texts`` maps fingerprint to text names.
-
-    A fingerprint is an array of ``LANES`` longs below 2**32.
-    """
-    names = list(texts)
-    df = df.withColumns({f"_p_{n}": paragraphs_of(F.col(texts[n])) for n in names})
-    df = df.withColumns({f"_f_{n}": features(F.col(f"_p_{n}")) for n in names}
-                        | {f"_i_{n}": F.transform(f"_p_{n}", lambda p: F.array(
-                            *[F.xxhash64(F.lit(seed), p) for seed in range(IDENTITY // 2)])) for n in names})
-    df = df.withColumns({f"_k_{n}": _chunks(F.col(f"_f_{n}")) for n in names})
-    df = df.withColumns({f"_c{j}_{n}": _counters(F.col(f"_k_{n}"), j) for n in names for j in range(8)})
-    out = {n: F.array(
-        *[_sum(F.col(f"_i_{n}"), _half(low, i)).bitwiseAND(F.lit(MASK))
-          for i in range(IDENTITY // 2) for low in (True, False)],
-        F.size(f"_f_{n}").cast("long").bitwiseAND(F.lit(MASK)),
-        *[_sum(F.col(f"_c{j}_{n}"), _counter(k)).bitwiseAND(F.lit(MASK)) for k in range(8) for j in range(8)])
-        for n in names}
-    return df.withColumns(out).drop(*[f"_{k}_{n}" for k in ["p", "f", "i", "k", *[f"c{j}" for j in range(8)]]
-                                      for n in names])
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body's lambdas use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _likeness_lanes(hashes: Column) -> Column:
+    def counters(chunks: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.transform(chunks, lambda chunk: _sum(
+            chunk, lambda h: _shifted(h, j).bitwiseAND(F.lit(EIGHT)))))
+
+    def lanes(c: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(LIKENESS - 1)), lambda i: _sum(
+            F.element_at(c, i % 8 + 1), lambda x: _shifted(x, i - i % 8).bitwiseAND(F.lit(0xFF))).bitwiseAND(F.lit(MASK)))
+
+    return _let(_let(_chunks(hashes), counters), lanes)
+
+
+def _identity_lanes(paragraphs: Column) -> Column:
+    hashes = F.transform(paragraphs, lambda p: F.array(*[F.xxhash64(F.lit(s), p) for s in range(IDENTITY // 2)]))
+    return _let(hashes, lambda of: F.transform(F.sequence(F.lit(0), F.lit(IDENTITY - 1)), lambda i: _sum(
+        of, lambda h: _shifted(F.element_at(h, F.floor(i / 2).cast("int") + 1), 32 * (i % 2))
+        .bitwiseAND(F.lit(MASK))).bitwiseAND(F.lit(MASK))))
+
+
+def with_fingerprint(df: DataFrame, name: str, text: str) -> DataFrame:
+    """``df`` with a fingerprint of column ``text``: an array of ``LANES`` longs below 2**32."""
+    def of(p: Column) -> Column:
+        return _let(features(p), lambda f: F.concat(
+            _identity_lanes(p), F.array(F.size(f).cast("long").bitwiseAND(F.lit(MASK))), _likeness_lanes(f)))
+
+    return df.withColumn(name, _let(paragraphs_of(F.col(text)), of))
 
 
 def add(a: Column, b: Column) -> Column:

@@ -77,7 +77,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = (rows.join(heads, ["id", "none"])
             .select("id", "none", "first", "text", n.cast("long").alias("n_chars"), edited.alias("edited")))
     both = both.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
-    marked = fingerprint.with_fingerprints(both, {"f": "text", "e": "edited"}).drop("text", "edited")
+    marked = fingerprint.with_fingerprint(both, "f", "text").drop("text")
+    marked = fingerprint.with_fingerprint(marked, "e", "edited").drop("edited")
     marked = written(marked, "fingerprints").join(follow.drop("m"), ["id", "none"])
     nexts = marked.where("first").select(F.col("id").alias("next_id"), F.col("none").alias("next_none"),
                                          F.col("f").alias("g"))
