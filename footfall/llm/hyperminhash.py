@@ -9,11 +9,13 @@ collisions of compressed values, drops candidates ``SIGMAS`` standard deviations
 threshold; full sets confirm the rest exactly.
 
 Groups are never expanded into pairs.  Equal sets are one node (its id: 64 bits of a digest of
-the set; equal for different sets with a chance of n**2 / 2**65).  Round one tests a node
-against the smallest node of its bands only, one pair a node, and merges what is confirmed.
-Round two looks at bands that still hold more than one component: members are compared by
-registers inside blocks of ``BLOCK`` members (a larger band is dealt out as pairs of blocks),
-and only pairs of different components that pass the register test become rows.
+the set; equal for different sets with a chance of n**2 / 2**65).  Round one tests a
+node against the smallest node of each of its bands and merges what is confirmed.  The next
+rounds look at bands that still hold more than one component: members are compared by
+registers inside blocks of ``BLOCK`` members (a larger band is dealt out as pairs of blocks).
+Two rounds propose each node's best partner of another component, one pair a node, which
+joins what belongs together; the last makes rows of all other pairs of different components
+that pass the register test, each once.
 
 Defined results: null, empty or blank text has the empty set, size 0, and is linked with
 nothing; rows with one ``doc_id`` and different texts are different nodes; a null ``doc_id``
@@ -83,15 +85,26 @@ def registers_of(shingles: np.ndarray, k: int) -> np.ndarray:
     return np.where(used, (zeros + 1).astype(np.uint64) << np.uint64(MANTISSA) | mantissa, 0).astype(np.uint16)
 
 
-def band_keys(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and keys of the bands that hold any element, for a matrix of registers."""
+def all_band_keys(registers: np.ndarray) -> np.ndarray:
+    """Keys of each band, for a matrix of registers."""
     n, k = registers.shape
     bands = registers.reshape(n, k // ROWS, ROWS)
     key = np.broadcast_to(np.arange(1, k // ROWS + 1, dtype=np.uint64), bands.shape[:2]).copy()
     for i in range(ROWS):
         key = mix64(key * _M3 + bands[:, :, i])
-    row, band = np.nonzero(bands.any(axis=2))
-    return row, key[row, band].astype(np.int64)
+    return key.astype(np.int64)
+
+
+def band_keys(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and keys of the bands that hold any element, for a matrix of registers."""
+    row, band = np.nonzero(registers.reshape(len(registers), registers.shape[1] // ROWS, ROWS).any(axis=2))
+    return row, all_band_keys(registers)[row, band]
+
+
+def first_shared_band(ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
+    """Index of the first band that two rows of registers share (0 if none)."""
+    a, b = (r.reshape(*r.shape[:-1], r.shape[-1] // ROWS, ROWS) for r in (ra, rb))
+    return ((a == b).all(axis=-1) & a.any(axis=-1)).argmax(axis=-1)
 
 
 def collision_rate(size_a: np.ndarray, size_b: np.ndarray, k: int) -> np.ndarray:
@@ -101,13 +114,23 @@ def collision_rate(size_a: np.ndarray, size_b: np.ndarray, k: int) -> np.ndarray
     return (part[0] * part[1]).sum(axis=-1) / 2 ** MANTISSA
 
 
-def plausible(ra: np.ndarray, rb: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether the corrected estimate reaches the threshold less ``SIGMAS`` deviations."""
+def estimates(ra: np.ndarray, rb: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Corrected estimates of the similarity, and the number of buckets they rest on."""
     used = np.maximum((np.maximum(ra, rb) > 0).sum(axis=-1), 1)
     share = ((ra == rb) & (ra > 0)).sum(axis=-1) / used
     chance = collision_rate(size_a.astype(float), size_b.astype(float), ra.shape[-1])
-    estimate = (share - chance) / (1 - chance)
-    return estimate >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used)
+    return (share - chance) / (1 - chance), used
+
+
+def least_estimate(used: np.ndarray, threshold: float) -> np.ndarray:
+    """The threshold less ``SIGMAS`` standard deviations."""
+    return threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used)
+
+
+def plausible(ra: np.ndarray, rb: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the estimate may stand for a similarity of the threshold."""
+    value, used = estimates(ra, rb, size_a, size_b)
+    return value >= least_estimate(used, threshold)
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
@@ -155,8 +178,10 @@ def _register_test(pairs: DataFrame, nodes: DataFrame, threshold: float, k: int)
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _band_test(members: DataFrame, threshold: float, k: int) -> DataFrame:
-    """Plausible pairs of different components inside each block pair of each band.
+def _band_test(members: DataFrame, threshold: float, k: int, best: bool) -> DataFrame:
+    """Plausible pairs of different components inside each block pair of each band, with their
+    estimates: the best partner of each member, or all pairs, a pair that shares several bands
+    from the first of them only.
 
     ``members``: ``band, i, j, block, node, label, n_shingles, registers``, sorted by the first
     three columns; one group (at most two blocks) is held at a time.
@@ -165,22 +190,32 @@ def _band_test(members: DataFrame, threshold: float, k: int) -> DataFrame:
         block = np.array([r[0] for r in rows])
         node, label, size = (np.array([r[c] for r in rows], np.int64) for c in (1, 2, 3))
         regs = np.frombuffer(b"".join([r[4] for r in rows]), np.uint16).reshape(-1, k)
-        i, j = rows[0][5], rows[0][6]
+        i, j, band = rows[0][5:]
+        slot = np.flatnonzero(all_band_keys(regs[:1])[0] == band)[0]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for x in left:
-            with_x = right[(label[right] != label[x]) & (node[right] > node[x] if i == j else True)]
-            if len(with_x):
-                ok = with_x[plausible(regs[x], regs[with_x], size[x:x + 1], size[with_x], threshold)]
-                for y in ok:
-                    yield min(node[x], node[y]), max(node[x], node[y])
+        for one, others in ((left, right), (right, left))[:2 if best and i != j else 1]:
+            for x in one:
+                y = others[(label[others] != label[x]) & (best | (i != j) | (node[others] > node[x]))]
+                value, used = estimates(regs[x], regs[y], size[x:x + 1], size[y])
+                ok = value >= least_estimate(used, threshold)
+                y, value = y[ok], value[ok]
+                if not len(y):
+                    continue
+                if best:
+                    at = value.argmax()
+                    yield node[x], node[y[at]], value[at]
+                else:
+                    for z in y[first_shared_band(regs[x], regs[y]) == slot]:
+                        yield min(node[x], node[z]), max(node[x], node[z]), 1.0
 
     def run(batches):
         key, rows = None, []
 
         def close():
             found = list(pairs_of(rows))
-            return pa.RecordBatch.from_arrays([pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)],
-                                              ["a", "b"])
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)),
+                 pa.array([float(p[2]) for p in found], pa.float64())], ["a", "b", "estimate"])
 
         for b in batches:
             for band, i, j, block, node, label, size, regs in zip(*(c.to_pylist() for c in b.columns)):
@@ -188,11 +223,11 @@ def _band_test(members: DataFrame, threshold: float, k: int) -> DataFrame:
                     if rows:
                         yield close()
                     key, rows = (band, i, j), []
-                rows.append((block, node, label, size, regs, i, j))
+                rows.append((block, node, label, size, regs, i, j, band))
         if rows:
             yield close()
 
-    return members.mapInArrow(run, "a long, b long")
+    return members.mapInArrow(run, "a long, b long, estimate double")
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -236,39 +271,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.first("n_shingles").alias("n_shingles"))
         .withColumn("rep", F.coalesce("first_id", F.lit(NO_ID))), "near-nodes")
     bands = written(_bands(nodes, k), "bands")
-    shared = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
-    members = written(bands.join(shared.drop("top"), "band"), "band-members")
+    shared = (bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+              .where("lo <> hi"))
+    members = written(bands.join(shared, "band"), "band-members")
     drop_written(bands)
-    # Round one: each node with the smallest node of its bands.
-    pairs = members.groupBy("node").agg(F.min("hub").alias("a")).where("a <> node").select(
-        "a", F.col("node").alias("b"))
-    pairs = written(_register_test(pairs, nodes, threshold, k), "pairs")
-    links = written(_confirmed(pairs, nodes, docs, width, percent), "links")
-    labels = components(links)
-    # Round two: bands of more than one component.
-    labelled = members.drop("hub").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = written(labelled, "band-labels")
-    open_bands = (labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                               F.count(F.lit(1)).alias("m")).where("lo <> hi")
-                  .select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    dealt = (labelled.join(open_bands, "band")
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-             .join(nodes.select("node", "n_shingles", "registers"), "node")
-             .select("band", "i", "j", "block", "node", "label", "n_shingles", "registers")
-             .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j"))
-    more = written(_band_test(dealt, threshold, k).distinct(), "pairs")
-    more_links = _confirmed(more, nodes, docs, width, percent)
-    between = more_links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left") \
-        .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-    joined = components(between.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-    # A label's last name, then the smallest id of each component.
-    to = joined.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-    final = (nodes.select("node", "first_id").join(labels, "node", "left")
-             .withColumn("label", F.coalesce("label", "node")).join(to, F.col("label") == F.col("_n"), "left")
-             .select("node", "first_id", F.coalesce("_l", "label").alias("label")))
-    final = written(final, "near-labels")
+    labels = members.select("node").distinct().withColumn("label", F.col("node"))
+
+    def merge(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        links = _confirmed(pairs, nodes, docs, width, percent)
+        ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
+        linked = links.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        to = components(linked).select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+        return written(labels.join(to, F.col("label") == F.col("_n"), "left")
+                       .select("node", F.coalesce("_l", "label").alias("label")), "near-labels")
+
+    # Each node with the smallest node of each of its bands.
+    pairs = members.select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    labels = merge(written(_register_test(pairs, nodes, threshold, k), "pairs"), labels)
+    # Bands of more than one component: best partners, twice, then the rest of the pairs.
+    for best in (True, True, False):
+        labelled = written(members.select("band", "node").join(labels, "node"), "band-labels")
+        open_bands = (labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                                   F.count(F.lit(1)).alias("m")).where("lo <> hi")
+                      .select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+        dealt = (labelled.join(open_bands, "band")
+                 .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+                 .join(nodes.select("node", "n_shingles", "registers"), "node")
+                 .select("band", "i", "j", "block", "node", "label", "n_shingles", "registers")
+                 .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j"))
+        pairs = _band_test(dealt, threshold, k, best)
+        if best:
+            pairs = pairs.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("x")).select(
+                F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
+        labels = merge(written(pairs.select("a", "b"), "pairs"), labels)
+        drop_written(labelled)
+    final = nodes.select("node", "first_id").join(labels, "node", "left").select(
+        "node", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("first_id").alias("component"))
     of_node = final.join(smallest, "label").select(F.col("node").alias("_node"), "component")
     out = found.select("doc_id", "n_shingles", "node").join(of_node, F.col("node") == F.col("_node"), "left")
