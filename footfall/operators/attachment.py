@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us, minus_s, minutes_between, plus_s
 from ..params import DEFAULT, Params
-from ..sources.dimensions import checked_broadcast, rail_cells
+from ..sources.dimensions import rail_cells
 
 US = 1_000_000
 DWELL_KEYS = ["date_dt", "user_id", "first_event", "last_event"]
@@ -20,7 +20,7 @@ ATTACHMENT_COLUMNS = ["date_dt", "timeband", "user_id", "total_visits", "commute
 # ---------------------------------------------------------------- arrival mode
 def rail_events(previous: DataFrame, rail_cell_table: DataFrame) -> DataFrame:
     """Previous events on rail-station cells: ``(cell_id, date_dt, start_dt, user_id)``."""
-    rail = checked_broadcast(rail_cells(rail_cell_table))
+    rail = rail_cells(rail_cell_table)
     return previous.join(rail, "cell_id", "left_semi").select("cell_id", "date_dt", "start_dt", "user_id")
 
 
@@ -30,7 +30,7 @@ def rail_trips(previous: DataFrame, rail_cell_table: DataFrame, p: Params = DEFA
     Every such pair already is a previous event (the rail window lies inside
     the look-back), so no second join with the dwells is needed.
     """
-    rail = checked_broadcast(rail_cells(rail_cell_table))
+    rail = rail_cells(rail_cell_table)
     return (
         previous.join(rail, "cell_id", "left_semi")
         .where(F.col("start_dt") > minus_s("first_event", p.rail_recent_s))
@@ -54,7 +54,7 @@ def arrival_flags(previous: DataFrame, rail_cell_table: DataFrame, p: Params = D
     Same rows as ``rail_trips`` full-outer ``other_trips``, with one shuffle
     instead of two distincts and two joins.
     """
-    rail = checked_broadcast(rail_cells(rail_cell_table).withColumn("_rail", F.lit(True)))
+    rail = rail_cells(rail_cell_table).withColumn("_rail", F.lit(True))
     recent_rail = F.col("_rail").isNotNull() & (F.col("start_dt") > minus_s("first_event", p.rail_recent_s))
     recent_any = F.col("start_dt") > minus_s("first_event", p.other_recent_s)
     return (
@@ -96,12 +96,12 @@ def band_occupancy(dwells: DataFrame, series: DataFrame, p: Params = DEFAULT,
     behaviour) or, when ``run_date`` is None, on each dwell's own date.  The
     theta join is keyed by hour of day: a dwell is spread over the hours its
     open range ``(first_event, last_event + slack)`` covers and meets only the
-    bands of those hours (bands broadcast: at most one day of them).
+    bands of those hours.  A band given twice gives two rows, as in the original.
     """
     base = _base_ts(run_date)
     day = F.date_format(base, "yyyy-MM-dd")
     bands = (
-        series.select(F.col("ts").alias("band_text")).distinct()
+        series.select(F.col("ts").alias("band_text"))
         .withColumn("_hour", F.hour(F.concat(F.lit("1970-01-01 "), "band_text").try_cast("timestamp_ntz")))
         .where(F.col("_hour").isNotNull())
     )
@@ -114,7 +114,7 @@ def band_occupancy(dwells: DataFrame, series: DataFrame, p: Params = DEFAULT,
                            .otherwise(F.array().cast("array<int>"))))
     ts = F.concat(day, F.lit(" "), F.col("band_text")).try_cast("timestamp_ntz")
     return (
-        spread.join(checked_broadcast(bands), "_hour")
+        spread.join(bands, "_hour")
         .withColumn("ts", ts)
         .where((F.col("ts") > F.col("first_event"))
                & (F.col("last_event") > minus_s("ts", p.band_slack_s)))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..functions.buckets import BUCKET, OWN, bucket_of, ordinal, with_halo
 from ..functions.timecols import epoch_us
 from ..params import DEFAULT, Params
-from ..sources.dimensions import checked_broadcast, site_cells
+from ..sources.dimensions import site_cells
 from .intervals import bucketed_range_join
 
 US = 1_000_000
@@ -46,7 +46,7 @@ DWELL_COLUMNS = ["date_dt", "user_id", "first_event", "last_event"]
 # ---------------------------------------------------------------- site events
 def events_at_site(trace: DataFrame, site_cell_table: DataFrame) -> DataFrame:
     """Trace rows whose cell belongs to the site (semi join, broadcast cells)."""
-    cells = checked_broadcast(site_cells(site_cell_table))
+    cells = site_cells(site_cell_table)
     return trace.join(cells, "cell_id", "left_semi").select(*trace.columns)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us, minus_s
 from ..params import DEFAULT, Params
-from ..sources.dimensions import area_cells, area_cells_excluding, checked_broadcast, fits_broadcast
+from ..sources.dimensions import area_cells, area_cells_excluding
 from .intervals import bucketed_range_join
 
 US = 1_000_000
@@ -24,15 +24,14 @@ def previous_events(trace: DataFrame, dwells: DataFrame, p: Params = DEFAULT,
 
     The trace holds every user of the network, the dwells only the site's
     visitors.  With ``prefilter`` the trace is first cut to the visitors'
-    ``(user_id, date_dt)`` by a broadcast semi join -- when that key set passes
-    the broadcast row check -- so only their events are shuffled.
+    ``(user_id, date_dt)`` by a semi join; Spark broadcasts that key set below
+    its size threshold, or filters the scan by a bloom filter of it (``session``).
     """
     ev = trace.select("user_id", "date_dt", "start_dt", "cell_id")
     dw = dwells.select("user_id", "date_dt", "first_event", "last_event")
     if prefilter:
         visitors = dw.select("user_id", "date_dt").distinct()
-        if fits_broadcast(visitors):
-            ev = ev.join(F.broadcast(visitors), ["user_id", "date_dt"], "left_semi")
+        ev = ev.join(visitors, ["user_id", "date_dt"], "left_semi")
     cond = (F.col("p.start_dt") < F.col("r.first_event")) & \
            (F.col("p.start_dt") > minus_s(F.col("r.first_event"), p.lookback_s))
     j = bucketed_range_join(
@@ -51,7 +50,7 @@ def origin_candidates(previous: DataFrame, area_cell_table: DataFrame, p: Params
     A cell listed under several areas is counted once per area (as the join
     multiplies rows), matching the original counts.
     """
-    areas = checked_broadcast(area_cells_excluding(area_cell_table, p.excluded_area))
+    areas = area_cells_excluding(area_cell_table, p.excluded_area)
     return (
         previous.join(areas, "cell_id")
         .where(F.col("start_dt") < minus_s("first_event", p.origin_min_lead_s))
@@ -84,7 +83,7 @@ def visitor_origin(dwells: DataFrame, top_cells: DataFrame, area_cell_table: Dat
     included).  As in the original jobs a dwell without origin is dropped;
     ``keep_unknown=True`` keeps it with a null area.
     """
-    areas = checked_broadcast(area_cells(area_cell_table))
+    areas = area_cells(area_cell_table)
     top = top_cells.select("user_id", "date_dt", "first_event", "cell_id")
     with_cell = dwells.select("date_dt", "user_id", "first_event", "last_event") \
         .join(top, ["user_id", "date_dt", "first_event"], "left")

@@ -327,7 +327,7 @@ joined AS (
     AND a2.first_event = o.first_event AND a2.last_event = o.last_event
 ),
 bands AS (
-  SELECT DISTINCT d.date_dt, TRY_CAST(CAST(d.date_dt AS VARCHAR) || ' ' || s.ts AS TIMESTAMP) AS ts
+  SELECT d.date_dt, TRY_CAST(CAST(d.date_dt AS VARCHAR) || ' ' || s.ts AS TIMESTAMP) AS ts
   FROM (SELECT DISTINCT date_dt FROM trace) d CROSS JOIN time_series_table s
 ),
 occupancy AS (

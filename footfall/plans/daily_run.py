@@ -45,7 +45,10 @@ def _write(df: DataFrame, outputs: Outputs, name: str, run_date, load_ts) -> int
     obs = Observation(f"{name}_rows")
     stamped = sinks.stamp_partition(df.select(*cols), run_date, load_ts).observe(obs, F.count(F.lit(1)).alias("n"))
     sinks.overwrite_partitions(stamped, outputs.path(name), cols)
-    return int(obs.get["n"])
+    n = int(obs.get["n"])
+    if n == 0:  # a dynamic overwrite without rows replaces nothing: empty the day
+        sinks.drop_partition(df.sparkSession, outputs.path(name), run_date)
+    return n
 
 
 def _scratch(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -58,6 +58,13 @@ def overwrite_partitions(df: DataFrame, path: str, columns: list[str] | None = N
      .parquet(path))
 
 
+def drop_partition(spark: SparkSession, path: str, run_date: str | dt.date) -> None:
+    """Delete one day's folder of a table, if there is one (any Hadoop file system)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        "/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in zip(PARTITION_COLUMNS, run_date_parts(run_date)))]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a written table; partition columns stay text (no type inference)."""
     return spark.read.option("basePath", path).parquet(path)

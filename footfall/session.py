@@ -19,6 +19,7 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
@@ -47,7 +48,7 @@ def configure_for_input(spark: SparkSession, input_bytes: int,
     before AQE coalesces small ones, file splits of the same size, and the AQE
     skew-join thresholds relative to it.  Returns the partition count.
     """
-    n = max(200, min(200_000, int(input_bytes * HALO_FACTOR // target_partition_bytes) + 1))
+    n = max(200, int(input_bytes * HALO_FACTOR // target_partition_bytes) + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
@@ -95,6 +96,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = checkpoint_dir(spark)
     if current is None:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="footfall-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)

@@ -1,10 +1,7 @@
 """Small reference tables: cells of the site, of areas, of rail lines; time bands.
 
-All of them are dimensions: their size is bounded by the number of network
-cells (or bands per day), not by the trace, which is what makes broadcasting
-them safe.  ``checked_broadcast`` still verifies the bound before hinting, and
-``fits_broadcast`` guards data-derived sets as well (the day's visitors, used
-to cut the trace before the look-back join).
+Joins with them carry no hint: Spark's size threshold and adaptive execution choose the
+join from the sizes in bytes that it measures.
 """
 
 from __future__ import annotations
@@ -14,37 +11,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side must stay below this many rows; beyond it the join falls
-# back to a shuffle join chosen by Spark.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-# Verdicts of earlier checks: the same plan over the same input files has the
-# same row count, so it is counted once per session.
-_VERDICTS: dict[tuple, bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` holds at most ``max_rows`` rows (counts at most ``max_rows + 1``).
-
-    The verdict is kept for the plan and its file listing.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows,
-           tuple(sorted(df.inputFiles())))
-    small = _VERDICTS.get(key)
-    if small is None:
-        small = _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return small
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` provably holds at most ``max_rows`` rows.
-
-    A dimension that has grown past the bound is returned without the hint and
-    is joined by shuffle.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def site_cells(cells: DataFrame) -> DataFrame:
     """Distinct cell ids of the monitored site (``source_cell_id`` -> ``cell_id``)."""
@@ -84,13 +50,13 @@ def band_grid(series: DataFrame, dates: DataFrame) -> DataFrame:
     """Bands for several run dates at once: ``(date_dt, ts)``.
 
     ``dates`` holds a ``date_dt`` column.  Each date is spread over its 24 hours
-    and equi-joined with the (broadcast) bands of that hour, so the grid is built
+    and equi-joined with the bands of that hour, so the grid is built
     without a cartesian product; its size is bands-per-day times dates.
     """
     days = dates.select("date_dt").distinct().withColumn("_hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    bands = series.select("ts").distinct().withColumn("_hour", band_hour("ts"))
+    bands = series.select("ts").withColumn("_hour", band_hour("ts"))
     return (
-        days.join(checked_broadcast(bands), "_hour")
+        days.join(bands, "_hour")
         .select("date_dt",
                 F.concat(F.col("date_dt").cast("string"), F.lit(" "), F.col("ts"))
                 .try_cast("timestamp_ntz").alias("ts"))

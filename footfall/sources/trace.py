@@ -36,7 +36,8 @@ def normalise_trace(raw: DataFrame) -> DataFrame:
     cell, else the end cell.  Rows whose time or cell stays null are dropped later
     by the inner joins that use them as keys.
     """
-    start = F.coalesce("start_timestamp", "end_timestamp")
+    # Whole seconds, as the original compares them.
+    start = F.date_trunc("SECOND", F.coalesce("start_timestamp", "end_timestamp")).cast("timestamp_ntz")
     return raw.select(
         F.col("imsi").alias("user_id"),
         F.to_date(start).alias("date_dt"),

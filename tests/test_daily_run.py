@@ -71,6 +71,21 @@ def test_rerun_is_idempotent(spark, tables, tmp_path):
         {"2024-02-01 06:00:00"}
 
 
+def test_empty_rerun_empties_the_day(spark, tables, tmp_path):
+    out = Outputs(str(tmp_path / "out"))
+    run_day(spark, tables, out, "2024-01-14", "2024-01-31 06:00:00")
+    kept = read_output(spark, out.path("dwells"), "dwells").count()
+    run_day(spark, tables, out, DAY, "2024-01-31 06:00:00")
+    none = str(tmp_path / "no-cells")
+    spark.read.parquet(tables.site_cells).where("false").write.parquet(none)
+    bare = Tables(tables.trace, none, tables.area_cells, tables.rail_cells, tables.time_series)
+    counts = run_day(spark, bare, out, DAY, "2024-02-01 06:00:00")
+    assert counts["dwells"] == counts["origin_msoa"] == counts["users_attachment"] == 0
+    for name in ("dwells", "origin_msoa", "users_attachment"):
+        assert read_output(spark, out.path(name), name).where("day = '15'").count() == 0
+    assert read_output(spark, out.path("dwells"), "dwells").count() == kept
+
+
 def test_stream_trigger_loads_each_new_day(spark, tables, tmp_path):
     out = Outputs(str(tmp_path / "out"))
     trace_two_days = str(tmp_path / "trace2")

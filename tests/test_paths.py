@@ -22,13 +22,44 @@ def _same(a, b):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_broadcast_check_falls_back_when_too_large(spark):
-    df = spark.createDataFrame([(1,), (2,), (3,)], "cell_id int")
-    assert dims.fits_broadcast(df, max_rows=3)
-    assert not dims.fits_broadcast(df, max_rows=2)
-    hinted = dims.checked_broadcast(df, max_rows=2)
-    plan = hinted.join(spark.range(5).withColumnRenamed("id", "cell_id"), "cell_id")
-    assert plan.count() == 3                      # still joins, without the hint
+def test_cluster_without_checkpoint_dir_is_refused(monkeypatch):
+    from footfall import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_repeated_bands_give_repeated_rows(spark):
+    from footfall.operators.attachment import band_occupancy
+    from helpers import bands, ts
+
+    dwells = spark.createDataFrame([(ts("2024-01-15 10:00:00").date(), 1, ts("2024-01-15 10:00:00"),
+                                     ts("2024-01-15 10:05:00"))],
+                                   "date_dt date, user_id long, first_event timestamp_ntz, last_event timestamp_ntz")
+    series = bands(spark)
+    once = band_occupancy(dwells, series).count()
+    assert once > 0 and band_occupancy(dwells, series.union(series)).count() == 2 * once
+
+
+def test_event_times_are_whole_seconds(spark):
+    from footfall.sources.trace import normalise_trace
+    from helpers import raw_trace
+
+    found = normalise_trace(raw_trace(spark, [(1, "2024-01-15 10:00:00.900", 5)])).first()
+    assert found["start_dt"].microsecond == 0 and found["start_dt"].second == 0
 
 
 @needs_data
