@@ -10,12 +10,12 @@ threshold; full sets confirm the rest exactly.
 
 Groups are never expanded into pairs.  Equal sets are one node (its id: 64 bits of a digest of
 the set; equal for different sets with a chance of n**2 / 2**65).  Round one tests a
-node against the smallest node of each of its bands and merges what is confirmed.  The next
-rounds look at bands that still hold more than one component: members are compared by
-registers inside blocks of ``BLOCK`` members (a larger band is dealt out as pairs of blocks).
-Two rounds propose each node's best partner of another component, one pair a node, which
-joins what belongs together; the last makes rows of all other pairs of different components
-that pass the register test, each once.
+node against the smallest node of each of its bands and merges what is confirmed.  Bands that
+still hold more than one component are dealt out as pairs of blocks of about ``BLOCK`` members
+or ``BLOCK_SHINGLES`` shingles.  Round two keeps, by registers, the members with a plausible partner of
+another component in their blocks; round three gives those their full sets, tests each
+plausible pair once, where its first shared band is, unless links of the same blocks have joined
+its ends already, and returns the links that joined something: fewer than there are members.
 
 Defined results: null, empty or blank text has the empty set, size 0, and is linked with
 nothing; rows with one ``doc_id`` and different texts are different nodes; a null ``doc_id``
@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import drop_written, text_bytes, written
 from .components import components
 
-ROWS, MANTISSA, MISS, SIGMAS, BLOCK = 6, 10, 1e-6, 5, 512
+ROWS, MANTISSA, MISS, SIGMAS = 6, 10, 1e-6, 5
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 NO_ID = -(1 << 63)  # stands for a null doc_id
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,36 +102,25 @@ def band_keys(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, all_band_keys(registers)[row, band]
 
 
-def first_shared_band(ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
-    """Index of the first band that two rows of registers share (0 if none)."""
-    a, b = (r.reshape(*r.shape[:-1], r.shape[-1] // ROWS, ROWS) for r in (ra, rb))
-    return ((a == b).all(axis=-1) & a.any(axis=-1)).argmax(axis=-1)
+def cell_chances(sizes: np.ndarray, k: int) -> np.ndarray:
+    """Per set size, the chance of each number of leading zeros in a register."""
+    high = np.asarray(sizes, float)[..., None] / k * 2.0 ** -np.arange(62)
+    return np.exp(-high / 2) - np.exp(-high)
 
 
-def collision_rate(size_a: np.ndarray, size_b: np.ndarray, k: int) -> np.ndarray:
-    """Chance that registers of unrelated buckets are equal: both minima in one cell."""
-    high = 2.0 ** -np.arange(62)
-    part = [(np.exp(-s[..., None] / k * high / 2) - np.exp(-s[..., None] / k * high)) for s in (size_a, size_b)]
-    return (part[0] * part[1]).sum(axis=-1) / 2 ** MANTISSA
-
-
-def estimates(ra: np.ndarray, rb: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Corrected estimates of the similarity, and the number of buckets they rest on."""
+def estimates(ra: np.ndarray, rb: np.ndarray, cells_a: np.ndarray, cells_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimates of the similarity, corrected for the chance that registers of unrelated buckets
+    are equal (both minima in one cell), and the number of buckets they rest on."""
     used = np.maximum((np.maximum(ra, rb) > 0).sum(axis=-1), 1)
     share = ((ra == rb) & (ra > 0)).sum(axis=-1) / used
-    chance = collision_rate(size_a.astype(float), size_b.astype(float), ra.shape[-1])
+    chance = (cells_a * cells_b).sum(axis=-1) / 2 ** MANTISSA
     return (share - chance) / (1 - chance), used
 
 
-def least_estimate(used: np.ndarray, threshold: float) -> np.ndarray:
-    """The threshold less ``SIGMAS`` standard deviations."""
-    return threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used)
-
-
-def plausible(ra: np.ndarray, rb: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether the estimate may stand for a similarity of the threshold."""
-    value, used = estimates(ra, rb, size_a, size_b)
-    return value >= least_estimate(used, threshold)
+def plausible(ra: np.ndarray, rb: np.ndarray, cells_a: np.ndarray, cells_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the estimate is at most ``SIGMAS`` standard deviations below the threshold."""
+    value, used = estimates(ra, rb, cells_a, cells_b)
+    return value >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used)
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
@@ -170,94 +160,151 @@ def _register_test(pairs: DataFrame, nodes: DataFrame, threshold: float, k: int)
     def run(batches):
         for x in batches:
             if len(x):
-                ok = plausible(_matrix(x.column(2), k), _matrix(x.column(3), k), x.column(4).to_numpy(),
-                               x.column(5).to_numpy(), threshold)
+                ok = plausible(_matrix(x.column(2), k), _matrix(x.column(3), k),
+                               cell_chances(x.column(4).to_numpy(), k), cell_chances(x.column(5).to_numpy(), k), threshold)
                 yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "ra", "rb", "na", "nb")
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _band_test(members: DataFrame, threshold: float, k: int, best: bool) -> DataFrame:
-    """Plausible pairs of different components inside each block pair of each band, with their
-    estimates: the best partner of each member, or all pairs, a pair that shares several bands
-    from the first of them only.
-
-    ``members``: ``band, i, j, block, node, label, n_shingles, registers``, sorted by the first
-    three columns; one group (at most two blocks) is held at a time.
-    """
-    def pairs_of(rows):
-        block = np.array([r[0] for r in rows])
-        node, label, size = (np.array([r[c] for r in rows], np.int64) for c in (1, 2, 3))
-        regs = np.frombuffer(b"".join([r[4] for r in rows]), np.uint16).reshape(-1, k)
-        i, j, band = rows[0][5:]
-        slot = np.flatnonzero(all_band_keys(regs[:1])[0] == band)[0]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for one, others in ((left, right), (right, left))[:2 if best and i != j else 1]:
-            for x in one:
-                y = others[(label[others] != label[x]) & (best | (i != j) | (node[others] > node[x]))]
-                value, used = estimates(regs[x], regs[y], size[x:x + 1], size[y])
-                ok = value >= least_estimate(used, threshold)
-                y, value = y[ok], value[ok]
-                if not len(y):
-                    continue
-                if best:
-                    at = value.argmax()
-                    yield node[x], node[y[at]], value[at]
-                else:
-                    for z in y[first_shared_band(regs[x], regs[y]) == slot]:
-                        yield min(node[x], node[z]), max(node[x], node[z]), 1.0
-
+def _dealt(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of bands with several components, once for each pair of blocks they are in."""
+    labelled = members.select("band", "node").join(labels, "node").join(nodes.select("node", "n_shingles"), "node")
+    of_band = labelled.groupBy("band").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    return (labelled.join(of_band.where("lo <> hi").select("band", "blocks"), "band")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                    "node", "label", "n_shingles"))
+
+
+class _Blocks:
+    """Rows of one pair of blocks, with the plausible partners of each."""
+
+    def __init__(self, rows: list[tuple], threshold: float, k: int):
+        band, self.i, self.j = rows[0][:3]
+        self.block = np.array([r[3] for r in rows])
+        self.node, self.label, self.size = (np.array([r[c] for r in rows], np.int64) for c in (4, 5, 6))
+        self.registers = np.frombuffer(b"".join([r[7] for r in rows]), np.uint16).reshape(-1, k)
+        self.cells, self.threshold = cell_chances(self.size, k), threshold
+        keys = all_band_keys(self.registers)
+        self.earlier = keys[:, :(keys[0] == band).argmax()]
+        empty = ~self.registers.reshape(*keys.shape, ROWS).any(axis=2)[:, :self.earlier.shape[1]]
+        self.earlier[empty] = np.nonzero(empty)[0]  # empty bands are shared with no other row
+
+    def partners(self, x: int, wanted: np.ndarray) -> np.ndarray:
+        """Later members (or those of the other block) that are wanted, may be linked with ``x``
+        and share no earlier band with it."""
+        y = np.flatnonzero(wanted & (
+            np.minimum(self.size, self.size[x]) >= self.threshold * np.maximum(self.size, self.size[x]) - 1e-9))
+        y = y[y > x] if self.i == self.j else y[self.block[y] == self.j]
+        y = y[~(self.earlier[y] == self.earlier[x]).any(axis=1)]
+        r, c = self.registers, self.cells
+        return y[plausible(r[x], r[y], c[x], c[y], self.threshold)]
+
+    def firsts(self) -> np.ndarray:
+        return np.arange(len(self.node)) if self.i == self.j else np.flatnonzero(self.block == self.i)
+
+
+def _by_blocks(dealt: DataFrame, work, schema: str) -> DataFrame:
+    """``work(rows)``, record batches, for the rows of each pair of blocks; one pair is held at a time."""
     def run(batches):
-        key, rows = None, []
-
-        def close():
-            found = list(pairs_of(rows))
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)),
-                 pa.array([float(p[2]) for p in found], pa.float64())], ["a", "b", "estimate"])
-
+        rows = []
         for b in batches:
-            for band, i, j, block, node, label, size, regs in zip(*(c.to_pylist() for c in b.columns)):
-                if key != (band, i, j):
-                    if rows:
-                        yield close()
-                    key, rows = (band, i, j), []
-                rows.append((block, node, label, size, regs, i, j, band))
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if rows and rows[0][:3] != row[:3]:
+                    yield work(rows)
+                    rows = []
+                rows.append(row)
         if rows:
-            yield close()
-
-    return members.mapInArrow(run, "a long, b long, estimate double")
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            yield work(rows)
+
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, schema)
+
+
+def _with_partners(dealt: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``band, i, j, node`` of members with a plausible partner."""
+    def work(rows):
+        blocks = _Blocks(rows, threshold, k)
+        found = np.zeros(len(rows), bool)
+        for x in blocks.firsts():
+            # Of members known to have partners, only those of others are still asked for.
+            y = blocks.partners(x, (blocks.label != blocks.label[x]) & ~(found & found[x]))
+            found[y] = True
+            found[x] |= len(y) > 0
+        at = np.flatnonzero(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), v), t) for v, t in zip(rows[0], (pa.int64(), pa.int32(), pa.int32()))]
+            + [pa.array(blocks.node[at])], ["band", "i", "j", "node"])
+
+    return _by_blocks(dealt, work, "band long, i int, j int, node long")
+
+
+def intersections(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others, some at a time."""
+    out, at = [], 0
+    while at < len(others):
+        until, held = at + 1, len(others[at])
+        while until < len(others) and held + len(others[until]) <= BLOCK_SHINGLES:
+            held += len(others[until])
+            until += 1
+        joined = np.concatenate(others[at:until])
+        place = np.minimum(np.searchsorted(one, joined), len(one) - 1)
+        starts = np.cumsum([0, *map(len, others[at:until - 1])])
+        out.append(np.add.reduceat((one[place] == joined).astype(np.int64), starts))
+        at = until
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _links_in_blocks(dealt: DataFrame, threshold: float, percent: int, k: int) -> DataFrame:
+    """Links ``a, b`` confirmed on full sets that join different components of their blocks."""
+    def work(rows):
+        blocks = _Blocks(rows, threshold, k)
+        sets = [np.frombuffer(r[8], np.uint64) for r in rows]
+        label, links = blocks.label.copy(), []
+        for x in blocks.firsts():
+            y = blocks.partners(x, label != label[x])
+            both = intersections(sets[x], [sets[z] for z in y])
+            for z in y[100 * both >= percent * (blocks.size[x] + blocks.size[y] - both)]:
+                if label[z] != label[x]:
+                    links.append((blocks.node[x], blocks.node[z]))
+                    label[label == label[z]] = label[x]
+        return pa.RecordBatch.from_arrays([pa.array([int(l[c]) for l in links], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    return _by_blocks(dealt, work, "a long, b long")
+
+
+def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes."""
     wanted = nodes.select("node", "rep").join(wanted, "node")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(wanted, "rep")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(wanted, "rep").select("node", "text")
 
-    def own(batches):  # of rows with one doc_id, the one whose set is the node's
+    def run(batches):  # of rows with one doc_id, those whose set is the node's
         for b in batches:
-            ok = [node_of(shingle_set(t, width)) == n
-                  for t, n in zip(text_bytes(b.column(1)), b.column(0).to_pylist())]
-            yield b.filter(pa.array(ok, pa.bool_()))
+            sets = [shingle_set(t, width) for t in text_bytes(b.column(1))]
+            ok = [len(s) > 0 and node_of(s) == n for s, n in zip(sets, b.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]).filter(
+                    pa.array(ok, pa.bool_()))
+
+    return written(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "full-sets")
 
-    texts = written(texts.select("node", "text").mapInArrow(own, "node long, text string"), "near-texts")
-    one = texts.groupBy("node").agg(F.min("text").alias("text"))
-    sides = [one.select(F.col("node").alias(c), F.col("text").alias(f"t{c}")) for c in "ab"]
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= percent * union."""
+    sides = [sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"]
 
     def run(batches):
         for x in batches:
-            ok, last, held = [], None, None
-            for ta, nb, tb in zip(text_bytes(x.column(2)), x.column(1).to_pylist(), text_bytes(x.column(3))):
-                if nb != last:
-                    last, held = nb, shingle_set(tb, width)
-                sa = shingle_set(ta, width)
-                both = len(np.intersect1d(sa, held, assume_unique=True))
-                ok.append(100 * both >= percent * (len(sa) + len(held) - both))
+            one, other = ([np.frombuffer(s, np.uint64) for s in x.column(c).to_pylist()] for c in (2, 3))
+            both = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(one, other)]
+            ok = [100 * n >= percent * (len(p) + len(q) - n) for n, p, q in zip(both, one, other)]
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "ta", "tb")
+    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -277,8 +324,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     drop_written(bands)
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
 
-    def merge(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        links = _confirmed(pairs, nodes, docs, width, percent)
+    def merge(links: DataFrame, labels: DataFrame) -> DataFrame:
         ends = [labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
         linked = links.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
         to = components(linked).select(F.col("node").alias("_n"), F.col("label").alias("_l"))
@@ -287,26 +333,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # Each node with the smallest node of each of its bands.
     pairs = members.select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-    labels = merge(written(_register_test(pairs, nodes, threshold, k), "pairs"), labels)
-    # Bands of more than one component: best partners, twice, then the rest of the pairs.
-    for best in (True, True, False):
-        labelled = written(members.select("band", "node").join(labels, "node"), "band-labels")
-        open_bands = (labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                                   F.count(F.lit(1)).alias("m")).where("lo <> hi")
-                      .select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-        dealt = (labelled.join(open_bands, "band")
-                 .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-                 .join(nodes.select("node", "n_shingles", "registers"), "node")
-                 .select("band", "i", "j", "block", "node", "label", "n_shingles", "registers")
-                 .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j"))
-        pairs = _band_test(dealt, threshold, k, best)
-        if best:
-            pairs = pairs.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("x")).select(
-                F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct()
-        labels = merge(written(pairs.select("a", "b"), "pairs"), labels)
-        drop_written(labelled)
+    pairs = written(_register_test(pairs, nodes, threshold, k), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _full_sets(ends, nodes, docs, width)
+    labels = merge(written(_confirmed(pairs, sets, percent), "near-links"), labels)
+    drop_written(sets)
+    # Bands of more than one component, in blocks.
+    dealt = written(_dealt(members, labels, nodes), "band-blocks")
+    registers = nodes.select("node", "registers")
+    partnered = written(_with_partners(dealt.join(registers, "node").select(*dealt.columns, "registers"), threshold, k),
+                        "partnered")
+    sets = _full_sets(partnered.select("node").distinct(), nodes, docs, width)
+    dealt = (dealt.join(partnered, ["band", "i", "j", "node"]).join(registers, "node").join(sets, "node")
+             .select(*dealt.columns, "registers", "shingles"))
+    labels = merge(written(_links_in_blocks(dealt, threshold, percent, k), "near-links"), labels)
+    drop_written(sets)
     final = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("first_id").alias("component"))

@@ -166,6 +166,37 @@ def test_near_duplicates(docs, none, width, percent):
     assert hyperminhash.keep_first(docs).columns == docs.columns
 
 
+def test_near_duplicates_in_small_blocks(spark, monkeypatch):
+    """A large group of all degrees of likeness, whose bands are dealt out as many blocks."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", 8)
+    rnd = random.Random(9)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(90):
+        text = list(base)
+        for _ in range(rnd.randrange(0, 12)):
+            text[rnd.randrange(150)] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    sets = [{tuple(w[k:k + 3]) for k in range(148)} for w in (t.split() for _, t in rows)]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    prepare(spark)
+    found = collected(hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85))
+    assert [found[i]["component_id"] for i in range(len(rows))] == label
+    assert 1 < len(set(label)) < len(rows)
+
+
+def test_intersections_in_parts(monkeypatch):
+    monkeypatch.setattr(hyperminhash, "BLOCK_SHINGLES", 5)
+    one, others = np.array([1, 4, 7], np.uint64), [[4, 9], [1, 2, 3, 4, 7, 8], [5], [7]]
+    others = [np.array(x, np.uint64) for x in others]
+    assert hyperminhash.intersections(one, others).tolist() == [1, 3, 0, 1]
+    assert hyperminhash.intersections(one, []).tolist() == []
+
+
 def marked(docs, length, split, first):
     seen, out = {}, {}
     rows = [(i, split(t)) for i, t in given(docs)]
