@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_of, written
+from .common import drop_written, text_bytes, text_of, written
 from .hyperminhash import NO_ID, mix64
 
 STARTS_AT_ONCE = 1 << 20
@@ -67,17 +67,20 @@ def gram_hashes(h: np.ndarray, gram: int) -> np.ndarray:
 
 
 def window_minima(g: np.ndarray, width: int) -> np.ndarray:
-    """Place of the rightmost smallest of each ``width`` consecutive values."""
-    value, at, size = g, np.arange(len(g), dtype=np.int32), 1
-
-    def merged(step: int):
-        left, right = value[:-step], value[step:]
-        return np.minimum(left, right), np.where(right <= left, at[step:], at[:-step])
+    """Place of the rightmost smallest (by its upper bits) of each ``width`` consecutive values.
 
+    The lower bits hold the distance from the end, so that one minimum carries value and place.
+    """
+    n = len(g)
+    bits = np.uint64(n.bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    value, size = g >> bits << bits | np.arange(n, 0, -1, dtype=np.uint64), 1
     while 2 * size <= width:
-        value, at = merged(size)
+        value = np.minimum(value[:-size], value[size:])
         size *= 2
-    return at if size == width else merged(width - size)[1]
+    if size < width:
+        value = np.minimum(value[:size - width], value[width - size:])
+    return n - (value & low).astype(np.int64)
 
 
 def segments(h: np.ndarray, symbols: bytes | list[bytes], kind: Symbols) -> Iterator[tuple[np.ndarray, ...]]:
@@ -106,7 +109,7 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text_of()).alias("tk"))
 
 
-def all_segments(docs: DataFrame, kind: Symbols, anchors_only: bool = False) -> DataFrame:
+def all_segments(docs: DataFrame, kind: Symbols) -> DataFrame:
     def run(batches):
         for b in batches:
             for doc, tk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2))):
@@ -116,16 +119,13 @@ def all_segments(docs: DataFrame, kind: Symbols, anchors_only: bool = False) ->
                 if len(symbols) < kind.length:
                     continue
                 for anchor, variant, lo, place, n in segments(kind.hashes(symbols), symbols, kind):
-                    if anchors_only:
-                        yield pa.RecordBatch.from_arrays([pa.array(anchor)], ["anchor"])
-                    else:
-                        m = len(anchor)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(anchor), pa.array(variant), pa.array(np.full(m, doc)), pa.array(np.full(m, tk)),
-                             pa.array(lo.astype(np.int64)), pa.array(place.astype(np.int32)),
-                             pa.array(n.astype(np.int32))], ["anchor", "variant", "id", "tk", "lo", "place", "n"])
+                    m = len(anchor)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(anchor), pa.array(variant), pa.array(np.full(m, doc)), pa.array(np.full(m, tk)),
+                         pa.array(lo.astype(np.int64)), pa.array(place.astype(np.int32)),
+                         pa.array(n.astype(np.int32))], ["anchor", "variant", "id", "tk", "lo", "place", "n"])
 
-    return keyed(docs).select("id", "tk", "text").mapInArrow(run, "anchor long" if anchors_only else SEGMENT)
+    return keyed(docs).select("id", "tk", "text").mapInArrow(run, SEGMENT)
 
 
 def pieces(variants: DataFrame, docs: DataFrame, kind: Symbols) -> DataFrame:
@@ -160,9 +160,11 @@ def repeated_ranges(docs: DataFrame, kind: Symbols, matcher: Callable[[DataFrame
     window numbers of a variant that occur in another variant, or, with ``first_stays``, that
     occur in another variant earlier).
     """
-    counted = all_segments(docs, kind, anchors_only=True).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
+    whole = written(all_segments(docs, kind), "all-segments")
+    counted = whole.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
     repeated = counted.where("c > 1").select("anchor")
-    found = written(all_segments(docs, kind).join(repeated, "anchor", "left_semi"), "segments")
+    found = written(whole.join(repeated, "anchor", "left_semi"), "segments")
+    drop_written(whole)
     variants = written(
         found.groupBy("anchor", "variant").agg(
             F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "tk", "lo")).alias("first"),

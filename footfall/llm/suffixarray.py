@@ -47,7 +47,7 @@ def suffix_array(symbols: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarra
         after = np.zeros(n, np.int64)
         after[:max(0, n - size)] = rank[size:]
         key = rank * (int(rank.max(initial=0)) + 2) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if 2 * size >= limit:
             break
         sorted_key = key[order]
@@ -120,6 +120,10 @@ def repeated_windows(rows: list[dict], kind: Symbols, first_stays: bool) -> list
         at += len(x) + 1
     position[np.lexsort((ids[2], ids[1], ids[0]))] = np.arange(size)
     order, lcp = suffix_array(symbols, kind.length)
+    # Entries that share a window with a neighbour; an entry before each run of them shares less.
+    shares = lcp >= kind.length
+    at_run = np.flatnonzero(shares | np.append(shares[1:], False))
+    order, lcp = order[at_run], lcp[at_run]
     repeated = np.zeros(size, bool)
     repeated[order] = lpf(order, lcp, position) >= kind.length
     if not first_stays:
