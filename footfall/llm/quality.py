@@ -1,16 +1,18 @@
 """Quality rules: base statistics and a hashed n-gram log-likelihood ratio.
 
-Words and pairs of neighbouring words are hashed to ``BUCKETS`` buckets.  Two multinomials
-over the buckets are counted: the raw corpus (every document) and the trusted target (at most
-``TRUSTED_ROWS`` documents labelled good and not toxic, chosen by a hash of their id; a
-documented bound).  A document's score is the sum of log-ratios of its n-grams divided by
-their number plus ``SHRINK`` (so that very short texts stay near the neutral 0).  A fifth of
-the trusted documents, by hash, is left out of the counts and sets the threshold:
+Words and pairs of neighbouring words are keyed by 64-bit hashes (two of n distinct n-grams meet
+with a chance of n**2 / 2**65).  Two multinomials over all n-grams of the corpus are counted: the
+raw corpus (every document) and the trusted target (every document labelled good and not toxic).
+A document's score is the sum of log-ratios of its n-grams divided by their number plus
+``SHRINK`` (so that very short texts stay near the neutral 0).  A fifth of the trusted documents,
+by hash, is left out of the counts and sets the threshold:
 ``median - 2 * (median - 1st percentile)`` of their scores.  Each document, trusted or not, is
 kept if its score is at least that.
 
-The counts are one aggregation over all n-grams, combined before the shuffle, and the weights
-one row per bucket, which bounds what is broadcast (``BUCKETS`` rows of 12 bytes).
+The counts are one aggregation over all n-grams, combined before the shuffle.  Weights of the
+most frequent n-grams, at most ``FREQUENT``, are broadcast, so no frequent one is many rows of
+one task; all others meet their weights in a shuffle join.  Which way an n-gram goes does not
+change a score but for the order of a sum.
 
 Base statistics are column expressions on one row; see ``base_statistics``.  No Python runs on
 the executors.
@@ -21,13 +23,15 @@ text get the same result each; without trusted documents no score rejects anythi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_of, written
+from .common import WORD, shuffle_partitions, text_of, written
 
-BUCKETS = 1 << 20
-TRUSTED_ROWS = 20_000
+#: N-grams whose weights are broadcast (rows of 12 bytes); the others are joined by shuffle.
+FREQUENT = 1 << 20
 SHRINK = 16
 SYMBOLS = r"[#*$%&|<>]"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -87,7 +91,7 @@ def row_keys(text: str = "text") -> dict[str, Column]:
 
 
 def _ngrams(docs: DataFrame, *keep: Column) -> DataFrame:
-    """A row per n-gram: ``keep`` and ``bucket`` (int); ``_first`` marks the text's first."""
+    """A row per n-gram: ``keep`` and ``gram`` (its hash); ``_first`` marks the text's first."""
     w = F.col("_w")
     rows = docs.select(*keep, words().alias("_w")).select(
         *[c.alias(n) for c, n in ((F.col(n), n) for n in docs.select(*keep).columns)],
@@ -95,45 +99,85 @@ def _ngrams(docs: DataFrame, *keep: Column) -> DataFrame:
     names = docs.select(*keep).columns
     two = F.array(F.xxhash64("_p.a"), F.xxhash64("_p.a", F.coalesce("_p.b", F.lit(""))))
     return rows.select(*names, F.posexplode(two).alias("_j", "_h"), "_i").select(
-        *names, F.col("_h").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket"),
+        *names, F.col("_h").alias("gram"),
         ((F.col("_i") == 0) & (F.col("_j") == 0)).alias("_first"))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of the trusted documents, at most ``rows``, and whether they only calibrate."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the trusted documents, all of them, and whether they only calibrate."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    return (good.select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    return (good.select(F.col("doc_id").alias("_id")).distinct()
             .withColumn("_calibrates", F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(5)) == 0))
 
 
-def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``bucket``, ``weight``: log-ratio of target to raw probability, both smoothed by 1."""
-    flagged = docs.join(F.broadcast(trusted.where("not _calibrates")), F.col("doc_id") == F.col("_id"), "left")
+def weights(docs: DataFrame, trusted: DataFrame, frequent: int | None = None) -> DataFrame:
+    """``gram``, ``weight``, ``frequent``: log-ratio of target to raw probability, both smoothed by 1
+    over the distinct n-grams, and whether the n-gram is one of the most frequent."""
+    flagged = docs.join(trusted.where("not _calibrates"), F.col("doc_id") == F.col("_id"), "left")
     counts = (_ngrams(flagged, F.col("_id").isNotNull().alias("_target"))
-              .groupBy("bucket").agg(F.count(F.lit(1)).alias("_raw"), F.count_if("_target").alias("_good")))
+              .groupBy("gram").agg(F.count(F.lit(1)).alias("_raw"), F.count_if("_target").alias("_good")))
     counts = written(counts, "ngram-counts")
-    total = counts.agg(F.sum("_raw").alias("r"), F.sum("_good").alias("g")).first()
-    ratio = F.log((F.col("_good") + 1) / F.lit((total.g or 0) + BUCKETS)) \
-        - F.log((F.col("_raw") + 1) / F.lit((total.r or 0) + BUCKETS))
-    return counts.select("bucket", ratio.cast("float").alias("weight"))
-
-
-def scores(docs: DataFrame, bucket_weights: DataFrame) -> DataFrame:
+    # A row per sixteenth of an octave of counts: a few hundred.
+    size = F.floor(16 * F.log2("_raw")).cast("int")
+    sizes = counts.groupBy(size.alias("size")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_raw").alias("r"), F.sum("_good").alias("g")).collect()
+    distinct, raw, good = (sum(r[c] for r in sizes) for c in "nrg")
+    least, left = math.inf, FREQUENT if frequent is None else frequent
+    for r in sorted(sizes, key=lambda r: -r["size"]):
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["size"]
+    ratio = F.log((F.col("_good") + 1) / F.lit(good + distinct)) - F.log((F.col("_raw") + 1) / F.lit(raw + distinct))
+    return counts.select("gram", ratio.cast("float").alias("weight"), (size >= F.lit(float(least))).alias("frequent"))
+
+
+def scores(docs: DataFrame, gram_weights: DataFrame) -> DataFrame:
     """``_k1``, ``_k2``, ``score`` for every document with a word."""
-    grams = _ngrams(docs.withColumns(row_keys()), F.col("_k1"), F.col("_k2"), F.col("doc_id"))
-    scored = grams.join(F.broadcast(bucket_weights), "bucket")
-    texts = F.count_if("_first")
-    return (scored.groupBy("_k1", "_k2", "doc_id")
-            .agg(((F.sum(F.col("weight").cast("double")) / texts)
-                  / (F.count(F.lit(1)) / texts + SHRINK)).alias("score")))
+    key = ["_k1", "_k2", "doc_id"]
+    grams = _ngrams(docs.withColumns(row_keys()), *map(F.col, key))
+    frequent = gram_weights.where("frequent").select("gram", "weight")
+    rare = gram_weights.where("not frequent").select("gram", "weight")
+
+    def sums(weighted: DataFrame) -> DataFrame:
+        return weighted.groupBy(*key).agg(F.sum(F.col("weight").cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n"),
+                                          F.count_if("_first").alias("_texts"))
+
+    both = sums(grams.join(F.broadcast(frequent), "gram")).unionByName(
+        sums(grams.join(F.broadcast(frequent.select("gram")), "gram", "left_anti").join(rare, "gram")))
+    texts = F.sum("_texts")
+    return both.groupBy(*key).agg(((F.sum("_s") / texts) / (F.sum("_n") / texts + SHRINK)).alias("score"))
+
+
+def quantiles(values: DataFrame, column: str, shares: list[float]) -> list[float] | None:
+    """Exact quantiles, interpolated as ``percentile`` does; values are sorted in ranges, and what
+    meets on the driver is a row per range and two per quantile."""
+    ranged = (values.select(F.col(column).alias("v")).where("v is not null")
+              .repartitionByRange(shuffle_partitions(values.sparkSession), "v"))
+    ranged = written(ranged.withColumn("range", F.spark_partition_id()), "value-ranges")
+    starts, n = [], 0
+    for r in sorted(ranged.groupBy("range").count().collect()):
+        starts.append((r["range"], n, n + r["count"]))
+        n += r["count"]
+    if not n:
+        return None
+    at = [(n - 1) * share for share in shares]
+    ranks = sorted({f(x) for x in at for f in (math.floor, math.ceil)})
+    wanted = {(i, k - start): k for k in ranks for i, start, end in starts if start <= k < end}
+    rows = ranged.withColumn("i", F.row_number().over(Window.partitionBy("range").orderBy("v")) - 1)
+    picked = F.lit(False)
+    for i, place in wanted:
+        picked = picked | ((F.col("range") == i) & (F.col("i") == place))
+    value = {wanted[r["range"], r["i"]]: r["v"] for r in rows.where(picked).collect()}
+    return [value[math.floor(x)] + (x - math.floor(x)) * (value[math.ceil(x)] - value[math.floor(x)]) for x in at]
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``_k1``, ``_k2`` (``row_keys``), ``score``, ``good``: whether the method keeps the text."""
     trusted = written(trusted_ids(labels), "trusted")
     found = written(scores(docs, weights(docs, trusted)), "quality-scores")
-    held = found.join(F.broadcast(trusted.where("_calibrates")), F.col("doc_id") == F.col("_id"), "left_semi")
-    q = held.agg(F.percentile("score", F.array(F.lit(0.5), F.lit(0.01))).alias("q")).first().q
+    held = found.join(trusted.where("_calibrates"), F.col("doc_id") == F.col("_id"), "left_semi")
+    q = quantiles(held, "score", [0.5, 0.01])
     threshold = float("-inf") if q is None else q[0] - 2 * (q[0] - q[1])
     return found.select("_k1", "_k2", "score", (F.col("score") >= F.lit(threshold)).alias("good")).distinct()
 

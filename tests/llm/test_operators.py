@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -281,6 +282,58 @@ def test_quality_and_classifier_with_few_labels(spark, docs, none):
     assert classifier.score(none, *classifier.train(none, labels)).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1 << 20, 5, 0])
+def test_quality_scores(spark, docs, frequent, monkeypatch):
+    """Scores, threshold and verdict from plain counts of n-grams, whichever way weights are joined."""
+    monkeypatch.setattr(quality, "FREQUENT", frequent)
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    extra = [(100 + i, " ".join(rnd.choice(words) for _ in range(60))) for i in range(60)]
+    extra += [(200 + i, " ".join(rnd.choice(["junk", "zz", "qq", "w1"]) for _ in range(60))) for i in range(5)]
+    extra += [(101, "other text of a known id"), extra[3], extra[3], (None, "null id w1 w2")]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100, 160)] + [(100, 1, 0), (200, 0, 0)],
+                                   "doc_id long, quality int, toxic int")
+    calibrates = {r["_id"]: r["_calibrates"] for r in quality.trusted_ids(labels).collect()}
+    assert set(calibrates) == set(range(100, 160))
+
+    def grams(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return [(x,) for x in w] + list(zip(w, [*w[1:], ""]))
+
+    raw, good, rows = Counter(), Counter(), [tuple(r) for r in table.collect()]
+    for i, t in rows:
+        raw.update(grams(t))
+        good.update(grams(t) if calibrates.get(i) is False else [])
+    r, g, v = sum(raw.values()), sum(good.values()), len(raw)
+    score = {(i, t): sum(np.log((good[x] + 1) / (g + v) / ((raw[x] + 1) / (r + v))) for x in grams(t))
+             / (len(grams(t)) + quality.SHRINK) for i, t in rows if grams(t)}
+    held = [s for (i, _), s in score.items() if calibrates.get(i)]
+    median, low = np.percentile(held, [50, 1])
+    least = median - 2 * (median - low)
+    judged = quality.judge(table.withColumn("t", F.lit(0)), labels)
+    found = quality.verdicts(table, labels).join(
+        table.withColumns(quality.row_keys()).distinct(), ["_k1", "_k2"]).collect()
+    assert len(found) == len(score) and judged.count() == len(rows)
+    for x in found:
+        want = score[x["doc_id"], x["text"]]
+        assert abs(x["score"] - want) < 1e-5
+        assert x["good"] == (want >= least) or abs(want - least) < 1e-5
+    assert {x["good"] for x in found} == {True, False}
+
+
+def test_every_trusted_label_counts(spark):
+    labels = spark.range(25_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_ids(labels).count() == 25_000
+
+
+def test_quantiles(spark, none):
+    x = [float(i * 7919 % 101 // 3) for i in range(101)]
+    table = spark.createDataFrame([(v,) for v in [*x, None]], "score double")
+    assert np.allclose(quality.quantiles(table, "score", [0.5, 0.01, 0, 1]), np.percentile(x, [50, 1, 0, 100]))
+    assert quality.quantiles(table.where("false"), "score", [0.5]) is None
+
+
 def test_classifier_learns():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, classifier.FEATURES)).astype(np.float32)
