@@ -20,7 +20,7 @@ its ends already, and returns the links that joined something: fewer than there
 Defined results: null, empty or blank text has the empty set, size 0, and is linked with
 nothing; rows with one ``doc_id`` and different texts are different nodes; a null ``doc_id``
 takes part, its component is the smallest id reachable (null if there is none); equal rows get
-equal results.
+equal results, except that ``keep_first`` keeps one of them.
 """
 
 from __future__ import annotations
@@ -31,11 +31,12 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, text_bytes, written
+from .common import drop_written, text_bytes, text_of, written
 from .components import components
+from .quality import row_keys
 
 ROWS, MANTISSA, MISS, SIGMAS = 6, 10, 1e-6, 5
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
@@ -127,19 +128,27 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, k)
 
 
-def signatures(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """``doc_id, n_shingles, node, registers`` per row."""
+def text_key() -> Column:
+    """With the ``doc_id``, names a row's text."""
+    return F.xxhash64(text_of())
+
+
+def signatures(docs: DataFrame, width: int, k: int, keys: dict[str, Column]) -> DataFrame:
+    """``doc_id, n_shingles, node, registers`` per row, and the given keys (64 bits each)."""
+    names = list(keys)
+
     def run(batches):
         for b in batches:
             sets = [shingle_set(t, width) for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([registers_of(s, k).tobytes() if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "node", "registers"])
+                 pa.array([registers_of(s, k).tobytes() if len(s) else None for s in sets], pa.binary()),
+                 *b.columns[2:]], ["doc_id", "n_shingles", "node", "registers", *names])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, registers binary")
+    return docs.select("doc_id", "text", *[c.alias(n) for n, c in keys.items()]).mapInArrow(
+        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, registers binary"
+        + "".join(f", {n} long" for n in names))
 
 
 def _bands(nodes: DataFrame, k: int) -> DataFrame:
@@ -279,18 +288,16 @@ def _links_in_blocks(dealt: DataFrame, threshold: float, percent: int, k: int) -
 
 def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes."""
-    wanted = nodes.select("node", "rep").join(wanted, "node")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(wanted, "rep").select("node", "text")
+    wanted = nodes.select("node", "rep", "rep_text").join(wanted, "node")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), text_key().alias("rep_text"), "text").join(
+        wanted, ["rep", "rep_text"]).select("node", "text").dropDuplicates(["node"])
 
-    def run(batches):  # of rows with one doc_id, those whose set is the node's
+    def run(batches):
         for b in batches:
-            sets = [shingle_set(t, width) for t in text_bytes(b.column(1))]
-            ok = [len(s) > 0 and node_of(s) == n for s, n in zip(sets, b.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]).filter(
-                    pa.array(ok, pa.bool_()))
+            sets = [shingle_set(t, width).tobytes() for t in text_bytes(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return written(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "full-sets")
+    return written(texts.mapInArrow(run, "node long, shingles binary"), "full-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -308,15 +315,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
+def _grouped(docs: DataFrame, width: int, percent: int, keys: dict[str, Column]) -> DataFrame:
+    """``doc_id, n_shingles, node, label, component`` and the given keys per row of ``docs``: the
+    group (null for the empty set) and the smallest id in it."""
     threshold = percent / 100
     k = ROWS * bands_for(threshold)
-    found = written(signatures(docs, width, k), "signatures")
+    found = written(signatures(docs, width, k, {"_text": text_key()} | keys), "signatures")
+    # The row that stands for a node: of the smallest id, null last.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
     nodes = written(found.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.first("registers").alias("registers"),
-        F.first("n_shingles").alias("n_shingles"))
-        .withColumn("rep", F.coalesce("first_id", F.lit(NO_ID))), "near-nodes")
+        F.min(row).alias("row"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles"))
+        .select("node", F.col("row.doc_id").alias("first_id"), "registers", "n_shingles",
+                F.coalesce("row.doc_id", F.lit(NO_ID)).alias("rep"), F.col("row._text").alias("rep_text")), "near-nodes")
     bands = written(_bands(nodes, k), "bands")
     shared = (bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
               .where("lo <> hi"))
@@ -351,14 +361,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     final = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("first_id").alias("component"))
-    of_node = final.join(smallest, "label").select(F.col("node").alias("_node"), "component")
-    out = found.select("doc_id", "n_shingles", "node").join(of_node, F.col("node") == F.col("_node"), "left")
+    of_node = final.join(smallest, "label").select(F.col("node").alias("_node"), "label", "component")
+    out = found.select("doc_id", "n_shingles", "node", *keys).join(of_node, F.col("node") == F.col("_node"), "left")
+    return out.drop("_node")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
+    out = _grouped(docs, width, percent, {})
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates of a document with a smaller id."""
-    dropped = near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """The rows of ``docs`` without near-duplicates: one row of each group stays, of the smallest
+    id (null last), then by a hash of id and text; of rows equal in both, any one.  Rows
+    of the empty set all stay."""
+    keys = list(row_keys())
+    rows = written(_grouped(docs, width, percent, row_keys()).where("node is not null")
+                   .groupBy("label", "doc_id", *keys).agg(F.count(F.lit(1)).alias("n")), "near-rows")
+    best = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys)).alias("best"))
+    stays = (F.col("best._k1") == F.col("_k1")) & (F.col("best._k2") == F.col("_k2"))
+    judged = rows.join(best, "label").select(*keys, stays.alias("stays"), "n")
+    judged = written(judged.where(~F.col("stays") | (F.col("n") > 1)), "near-verdicts")
+    keyed = docs.withColumns(row_keys())
+    repeated = keyed.join(judged.where("stays").select(*keys), keys, "left_semi").dropDuplicates(keys)
+    return keyed.join(judged.select(*keys), keys, "left_anti").unionByName(repeated).select(*docs.columns)

@@ -167,6 +167,35 @@ def test_near_duplicates(docs, none, width, percent):
     assert hyperminhash.keep_first(docs).columns == docs.columns
 
 
+def test_keep_first_keeps_one_row_of_a_group(spark):
+    """Null and repeated ids take no other rows with them, and no copy of a group stays."""
+    def text(k, changed=None):
+        return " ".join("changed" if i == changed else f"w{k}_{i}" for i in range(120))
+
+    rows = [(1, text(0), "a"), (None, text(0, 60), "b"),  # near copy without an id
+            (None, text(1), "c"), (None, text(2), "d"),  # clean, without an id
+            (None, text(3), "e"), (None, text(3, 60), "f"), (None, text(3), "g"),  # a group without ids
+            (5, text(4), "h"), (5, text(4), "i"), (5, text(4), "j"),  # one row three times
+            (6, text(0, 30), "k"), (6, text(5), "l"),  # one id: a near copy and a clean text
+            (7, None, "m"), (7, "", "n"), (None, " ", "o"), (None, None, "p")]  # nothing to compare
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    prepare(spark)
+    kept = [r["source"] for r in hyperminhash.keep_first(docs).collect()]
+    groups = ["a", "c", "d", "efg", "hij", "l", "m", "n", "o", "p"]
+    assert sorted(next(g for g in [*groups, s] if s in g) for s in kept) == groups
+
+
+def test_many_texts_without_id(spark):
+    """Full sets are found by id and text: rows without an id do not meet each other's nodes."""
+    prepare(spark)
+    docs = spark.createDataFrame([(None, f"text number {i} of many") for i in range(50)], "doc_id long, text string")
+    nodes = hyperminhash.signatures(docs, 5, 6, {"rep_text": hyperminhash.text_key()}).withColumn(
+        "rep", F.lit(hyperminhash.NO_ID))
+    sets = hyperminhash._full_sets(nodes.select("node"), nodes, docs, 5).collect()
+    assert len(sets) == 50
+    assert all(hyperminhash.node_of(np.frombuffer(r["shingles"], np.uint64)) == r["node"] for r in sets)
+
+
 def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     """A large group of all degrees of likeness, whose bands are dealt out as many blocks."""
     monkeypatch.setattr(hyperminhash, "BLOCK", 8)
