@@ -393,6 +393,58 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.windows(table.where("false"))).count() == 0
 
 
+@pytest.mark.parametrize("block", [5, 64, 4096])
+def test_chat_windows_hold_the_budget(spark, block):
+    """Windows, turn by turn, as a plain greedy pass makes them; only a turn that is longer than the
+    budget by itself overruns it."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATH)
+    budget, history, rnd, rows = 120, 40, random.Random(6), []
+    for conv in (1, 2, 3, 4, None):
+        for turn in range(70):
+            role = "system" if turn == 0 and conv in (1, 3, 4) else ("user", "assistant")[turn % 2]
+            text = rnd.choice(["a", "日本語" * rnd.randrange(30), "unspaced" * 9, "w " * rnd.randrange(50), "long " * 300,
+                               "x" * 20, "<|end|>", None])
+            rows.append((conv, turn, role, "be kind" if role == "system" else text))
+    rows = [(c, t, r, "rule " * 200 if (c, t) == (3, 0) else "fits alone " * 45 if (c, t) == (4, 1) else x) for c, t, r, x in rows]
+    rows.append((9, 0, "system", "nothing else"))
+    prepare(spark)
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    want, sizes = {}, {}
+    for conv in (1, 2, 3, 4, None, 9):
+        own = [r for r in rows if r[0] == conv]
+        n = [len(library.encode(chat.formatted_turn(r[2], r[3] or ""), add_special_tokens=False).ids) for r in own]
+        system = n[0] if own[0][2] == "system" else 0
+        i = first = int(system > 0)
+        if system:
+            want[conv, 0] = [(0, 0)]
+        while i < len(own):
+            fits = n[i] + system <= budget
+            window = 0 if i == 1 and system and fits else i
+            shown = [(0, 0)] if system and fits else []
+            used, back = n[i] + (system if fits else 0), i
+            while fits and back > first and sum(n[back - 1:i]) <= history and used + n[back - 1] <= budget:
+                back -= 1
+                used += n[back]
+            shown += [(p, 1) for p in range(back, i)] + [(i, 2)]
+            i += 1
+            while fits and i < len(own) and used + n[i] <= budget:
+                shown.append((i, 2))
+                used += n[i]
+                i += 1
+            want[conv, window] = shown
+            sizes[conv, window] = used
+    found, tokens = {}, {}
+    for r in chat.placed_turns(table, budget, history, 7, block).collect():
+        found.setdefault((r["conv_id"], r["window"]), []).append((r["place"], r["kind"]))
+        tokens.setdefault((r["conv_id"], r["window"]), []).append(r["_n"])
+    assert {w: sorted(x) for w, x in found.items()} == want
+    assert all(sum(tokens[w]) == n for w, n in sizes.items())
+    assert all(sum(x) <= budget or len(x) == 1 for x in tokens.values())
+    assert any(k == 1 for x in found.values() for _, k in x) and any(sum(x) > budget for x in tokens.values())
+
+
 def test_pipeline_runs(spark, docs, tmp_path):
     import corpus_pipeline
 
