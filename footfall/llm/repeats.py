@@ -187,7 +187,8 @@ def repeated_ranges(docs: DataFrame, kind: Symbols, matcher: Callable[[DataFrame
         starts = F.col("starts")
         occurrences = found.drop("n", "place").join(answers, ["anchor", "variant"])
     ranges = occurrences.select("id", "tk", "lo", F.explode(starts).alias("s"))
-    return ranges.groupBy("id", "tk").agg(F.collect_list(F.struct(
+    # Rows equal in id and text share the key and have the same ranges: a set holds them once.
+    return ranges.groupBy("id", "tk").agg(F.collect_set(F.struct(
         (F.col("lo") + F.col("s.from")).alias("from"),
         (F.col("lo") + F.col("s.until") + (kind.length - 1)).alias("until"))).alias("ranges"))
 

@@ -14,8 +14,8 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from footfall.llm import (bpe, chat, classifier, fingerprint, hyperminhash, mixing, quality, suffixarray,  # noqa: E402
-                          suffixtree, tokenbin)
+from footfall.llm import (bpe, chat, classifier, fingerprint, hyperminhash, mixing, quality, repeats,  # noqa: E402
+                          suffixarray, suffixtree, tokenbin)
 from footfall.llm.common import prepare  # noqa: E402
 from footfall.plans.sinks import scratch_table_path  # noqa: E402
 
@@ -256,6 +256,27 @@ def test_suffix_array(docs, none, first, crowd, monkeypatch):
     assert suffixarray.without_repeats(docs, 40, 16).columns == docs.columns
 
 
+def test_ranges_of_repeated_rows_are_held_once(spark, monkeypatch):
+    """Many rows equal in id and text put one document's ranges in an array, not one per row."""
+    rnd, seen = random.Random(5), []
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    rows = spark.createDataFrame([(1, text)] * 50 + [(2, text)], "doc_id long, text string")
+    prepare(spark)
+    original = repeats.repeated_ranges
+
+    def watched(*args):
+        seen.extend(original(*args).collect())
+        return original(*args)
+
+    for module in (repeats, suffixarray):
+        if hasattr(module, "repeated_ranges"):
+            monkeypatch.setattr(module, "repeated_ranges", watched)
+    out = suffixarray.dedup_digests(rows, 40, 16, False).collect()
+    assert len(out) == 51 and all(r["n_removed"] == r["n_bytes"] == 300 for r in out)
+    by = {r["id"]: r["ranges"] for r in seen}
+    assert sorted(by[1]) == sorted(by[2]) and len(by[1]) == len({tuple(x) for x in by[1]})
+
+
 @pytest.mark.parametrize("crowd", [20_000, 2])
 def test_suffix_tree(docs, none, crowd, monkeypatch):
     monkeypatch.setattr(suffixtree, "SUFFIXES", crowd)
