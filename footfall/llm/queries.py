@@ -1,4 +1,8 @@
-"""The operators as queries over the given tables (``QUERIES``) and their SQL (``ORACLES``)."""
+"""The operators as queries over the given tables (``QUERIES``) and their SQL (``ORACLES``).
+
+The others have no SQL: DuckDB has neither their tokenizers nor their hash keys; ``tests/llm``
+holds them against plain Python.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.sinks import scratch_table_path
-from . import (bpe, chat, classifier, fingerprint, hyperminhash, mixing, quality, suffixarray, suffixtree,
-               tokenbin)
+from . import (alignment, bpe, chat, classifier, fingerprint, hyperminhash, mixing, quality, sigtree, suffixarray,
+               suffixtree, tokenbin, trie)
 from .common import read, shuffle_partitions, prepare, text_of, written
+from .oracles import ORACLES  # noqa: F401  (SQL of the queries that SQL can express)
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path() -> str:
@@ -138,6 +143,24 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(written(chat.windows(rows), "chat-windows"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations with shared first turns."""
+    prepare(spark)
+    return trie.shared_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    prepare(spark)
+    return alignment.align_digests(read(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path(PIECES))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles overlap by 85 in 100."""
+    prepare(spark)
+    return sigtree.jaccard_components(read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -146,8 +169,5 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_blocks, op2_mix_sources, op3_fingerprints, op4_near_duplicates, op5_suffix_array, op6_suffix_tree,
-    op7_bpe, op8_quality_rules, op9_quality_classifier, op10_chat_windows)} | {"pipeline": _pipeline}
-
-#: Sizes, the level of the targets by prefix sums over sources; ``taken`` depends on hash keys
-#: that DuckDB has not, so op2 has no SQL here (see tests/llm for the brute-force versions).
-ORACLES: dict[str, str] = {}
+    op7_bpe, op8_quality_rules, op9_quality_classifier, op10_chat_windows, op11_conversation_trie,
+    op12_tokenizer_alignment, op13_jaccard_join)} | {"pipeline": _pipeline}
