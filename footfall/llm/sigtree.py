@@ -2,7 +2,7 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes (two of n different shingles meet
 with a chance of n**2 / 2**65).  Equal sets are one node (64 bits of a digest of the set).  A node's
-signature is a bitmap of about two bits a shingle.  Nodes that may be linked meet in a group; each
+signature is a bitmap of about four bits a shingle.  Nodes that may be linked meet in a group; each
 group is a *signature tree*: leaves are members, inner nodes hold the OR of the bitmaps below, the
 range of set sizes, and the fewest bits a member must share with a partner.  A dual traversal from
 (root, root) drops pairs of tree nodes whose sizes are too far apart, whose common bits are fewer
@@ -14,8 +14,10 @@ among the first ``n - need + 1`` of each.  So a node is a member of the group of
 shingles, and no link is lost.  The order is by hash, but shingles of many nodes (``HOT`` or more, at
 most ``HOT_LISTED`` of them) come last, rarest first: they form groups only of sets that hold little
 else.  Which shingles are taken for hot changes the work, not the result.  Groups with the same
-members are one (by count and two hashes).  A group is cut into bands of set sizes a factor
-of the threshold apart; a node is also a foreign member of the band below if a partner can be there.
+members are one (by count and a 64-bit hash), and a group whose members are all in one of each
+other's ``LARGEST`` largest groups is dropped for that one.  A group is cut into bands of set sizes a
+factor of the threshold apart; a node is also a foreign member of the band below if a partner can
+be there.
 
 Rounds.  The links wanted are those that join components.  Round one asks each node's largest
 group, round two its three largest, round three all groups; before each, groups of one component
@@ -46,14 +48,14 @@ from .common import drop_written, text_bytes, written
 from .components import components
 from .hyperminhash import NO_ID, _full_sets, intersections, mix64, node_of, shingle_set, text_key
 
-LEAST_BITS, MOST_BITS = 64, 4096
+LEAST_BITS, MOST_BITS = 64, 8192
 FAN = 16
 BLOCK = 4096
 #: Shingles of at least so many nodes are put last in the order; so many of them at most (16 bytes each).
 HOT, HOT_LISTED = 512, 1 << 17
 #: Share of a set's smallest hashes (and their least number) that is kept with a node.
-KEPT_SHARE, KEPT_LEAST = 0.25, 32
-ROUNDS = (1, 3, None)
+KEPT_SHARE, KEPT_LEAST = 0.2, 32
+ROUNDS, LARGEST = (1, 3, None), 4
 #: Pairs of tree nodes looked at together; shingles counted together.
 FRONT, COUNTED = 1 << 14, 1 << 22
 
@@ -69,9 +71,9 @@ def band_of(n, percent: int):
 
 
 def bits_of_band(band: int, percent: int) -> int:
-    """Bits of the bitmaps of a band: the power of two from twice its largest size on."""
+    """Bits of the bitmaps of a band: the power of two from four times its largest size on."""
     largest = (percent / 100 - 0.01) ** -(band + 1)
-    return int(min(MOST_BITS, max(LEAST_BITS, 2 ** math.ceil(math.log2(2 * largest)))))
+    return int(min(MOST_BITS, max(LEAST_BITS, 2 ** math.ceil(math.log2(4 * largest)))))
 
 
 def bitmap(shingles: np.ndarray, bits: int) -> np.ndarray:
@@ -268,53 +270,53 @@ def first_shingles(low: np.ndarray, size: int, hot: tuple[np.ndarray, np.ndarray
 
 
 def _memberships(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``token, node, n_shingles``: the groups of each node."""
+    """``token, node``: the groups of each node."""
     hot = nodes.sparkSession.sparkContext.broadcast(_hot(nodes))
-    names = ["token", "node", "n_shingles"]
+    names = ["token", "node"]
 
-    def given(found):
-        counts = [len(f) for f in found[0]]
-        token = np.concatenate([*found[0], np.empty(0, np.uint64)]).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(token), *(pa.array(np.repeat(np.array(c, np.int64), counts))
-                                                              for c in found[1:])], names)
+    def given(tokens, of):
+        flat = np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(flat), pa.array(np.repeat(np.array(of, np.int64), [*map(len, tokens)]))], names)
 
     def run(batches):
         for x in batches:
-            done, late = ([], [], []), ([], [])
+            tokens, of, late = [], [], []
             for node, n, low in zip(*(c.to_pylist() for c in x.columns)):
                 first = first_shingles(np.frombuffer(low, np.uint64), n, hot.value, percent)
-                for column, v in zip(late if first is None else done, (node, n) if first is None else (first, node, n)):
-                    column.append(v)
-            yield given(done)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(late[0]), pa.int64()), *(pa.array(c, pa.int64()) for c in late)],
-                                             names)
+                if first is None:
+                    late.append(node)
+                else:
+                    tokens.append(first)
+                    of.append(node)
+            yield given(tokens, of)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(late), pa.int64()), pa.array(late, pa.int64())], names)
 
     def run_whole(batches):
         for x in batches:
-            done = ([], [], [])
-            for node, shingles in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
-                s = np.frombuffer(shingles, np.uint64)
-                for column, v in zip(done, (first_shingles(s, len(s), hot.value, percent), node, len(s))):
-                    column.append(v)
-            yield given(done)
-
-    schema = "token long, node long, n_shingles long"
-    found = written(nodes.select("node", "n_shingles", "low").mapInArrow(run, schema), "jaccard-first")
-    late = found.where("token is null").select("node")
-    whole = _full_sets(late, nodes, docs, width).mapInArrow(run_whole, schema)
-    return found.where("token is not null").unionByName(whole)
-
-
-def _groups(memberships: DataFrame) -> DataFrame:
-    """``token, node, n_shingles, nth``: groups of two or more, those with equal members once; ``nth``
-    counts a node's groups from the largest on."""
-    h = F.xxhash64("node")
-    of_group = (memberships.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
-        F.sum(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(1 << 32))).alias("s")).where("n > 1"))
-    once = of_group.groupBy("n", "x", "s").agg(F.min("token").alias("token")).select("token", "n")
-    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.col("n").desc(), "token"))
-    return memberships.join(once, "token").withColumn("nth", nth).select("token", "node", "n_shingles", "nth")
+            sets = [np.frombuffer(v, np.uint64) for v in x.column(1).to_pylist()]
+            yield given([first_shingles(v, len(v), hot.value, percent) for v in sets], x.column(0).to_pylist())
+
+    found = written(nodes.select("node", "n_shingles", "low").mapInArrow(run, "token long, node long"), "jaccard-first")
+    sets = _full_sets(found.where("token is null").select("node"), nodes, docs, width)
+    late = written(sets.mapInArrow(run_whole, "token long, node long"), "jaccard-late")
+    drop_written(sets)
+    return found.where("token is not null").unionByName(late)
+
+
+def _groups(memberships: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``token, node, n_shingles, nth``: groups of two or more, without those that another one holds;
+    ``nth`` counts a node's groups from the largest on."""
+    of_group = memberships.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"))
+    once = of_group.where("n > 1").groupBy("n", "x").agg(F.min("token").alias("token")).select("token", "n")
+    by = Window.partitionBy("node").orderBy(F.col("n").desc(), "token")
+    ranked = written(memberships.join(once, "token").withColumn("nth", F.row_number().over(by)), "jaccard-ranked")
+    # A group is held by another if all its members have that one among their largest.
+    largest = ranked.where(F.col("nth") <= LARGEST).select("node", F.col("token").alias("by"), F.col("nth").alias("by_nth"))
+    held = (ranked.join(largest, "node").where("by <> token and by_nth < nth").groupBy("token", "by", "n")
+            .agg(F.count(F.lit(1)).alias("inside")).where("inside = n").select("token").distinct())
+    left = ranked.join(held, "token", "left_anti").join(nodes.select("node", "n_shingles"), "node")
+    return left.withColumn("nth", F.row_number().over(by)).select("token", "node", "n_shingles", "nth")
 
 
 def _dealt(members: DataFrame, percent: int, complete: bool) -> DataFrame:
@@ -422,23 +424,26 @@ def _merged(links: DataFrame, labels: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``."""
-    found = written(_signed(docs, width, percent), "jaccard-rows")
+    signed = written(_signed(docs, width, percent), "jaccard-signed")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
-    nodes = written(found.where("node is not null").groupBy("node").agg(
+    nodes = written(signed.where("node is not null").groupBy("node").agg(
         F.min(row).alias("row"), *(F.first(c).alias(c) for c in ("n_shingles", "head", "low", "bits")))
         .select("node", F.col("row.doc_id").alias("first_id"), F.coalesce("row.doc_id", F.lit(NO_ID)).alias("rep"),
                 F.col("row._text").alias("rep_text"), "n_shingles", "head", "low", "bits"), "jaccard-nodes")
-    members = written(_groups(written(_memberships(nodes, docs, width, percent), "jaccard-memberships")), "jaccard-groups")
+    found = written(signed.select("doc_id", "n_shingles", "node"), "jaccard-rows")
+    drop_written(signed)
+    members = written(_groups(_memberships(nodes, docs, width, percent), nodes), "jaccard-groups")
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
     signatures = nodes.select("node", "head", "bits")
     for most in ROUNDS:
         asked = members if most is None else members.where(F.col("nth") <= most)
         dealt = written(_dealt(asked.drop("nth").join(labels, "node"), percent, most is None), "jaccard-dealt")
         columns = [*dealt.columns, "head", "bits"]
-        signed = dealt.join(signatures, "node").select(*columns)
-        partnered = written(_partnered(signed, percent), "jaccard-partnered")
-        sets = _full_sets(partnered.select("node").distinct(), nodes, docs, width)
-        confirmed = signed.join(partnered, ["token", "band", "i", "j", "node"]).join(sets, "node").select(*columns, "shingles")
+        partnered = written(_partnered(dealt.join(signatures, "node").select(*columns), percent), "jaccard-partnered")
+        wanted = partnered.select("node").distinct()
+        sets = _full_sets(wanted, nodes, docs, width)
+        confirmed = (dealt.join(partnered, ["token", "band", "i", "j", "node"])
+                     .join(signatures.join(wanted, "node", "left_semi").join(sets, "node"), "node").select(*columns, "shingles"))
         labels = _merged(written(_links(confirmed, percent), "jaccard-links"), labels)
         for scratch in (sets, dealt, partnered):
             drop_written(scratch)
