@@ -46,7 +46,8 @@ from pyspark.sql import functions as F
 
 from .common import drop_written, text_bytes, written
 from .components import components
-from .hyperminhash import NO_ID, _full_sets, intersections, mix64, node_of, shingle_set, text_key
+from .hyperminhash import NO_ID, intersections, mix64, node_of, shingle_set, text_key
+from .sieve import Sieve
 
 LEAST_BITS, MOST_BITS = 64, 8192
 FAN = 16
@@ -250,6 +251,22 @@ def _hot(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], n[order]
 
 
+def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes; of the texts only those
+    that are likely wanted are shuffled."""
+    wanted = written(nodes.select("node", "rep", "rep_text").join(wanted, "node", "left_semi"), "jaccard-wanted")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("rep"), text_key().alias("rep_text"), "text")
+    texts = Sieve(wanted.select("rep", "rep_text")).rows(texts, "rep", "rep_text")
+    found = texts.join(wanted, ["rep", "rep_text"]).select("node", "text").dropDuplicates(["node"])
+
+    def run(batches):
+        for b in batches:
+            sets = [shingle_set(t, width).tobytes() for t in text_bytes(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return written(found.mapInArrow(run, "node long, shingles binary"), "jaccard-sets")
+
+
 def first_shingles(low: np.ndarray, size: int, hot: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray | None:
     """The first ``size - need + 1`` shingles of a set in the common order, from its smallest hashes;
     None if these do not suffice."""
@@ -308,7 +325,9 @@ def _groups(memberships: DataFrame, nodes: DataFrame) -> DataFrame:
     """``token, node, n_shingles, nth``: groups of two or more, without those that another one holds;
     ``nth`` counts a node's groups from the largest on."""
     of_group = memberships.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"))
-    once = of_group.where("n > 1").groupBy("n", "x").agg(F.min("token").alias("token")).select("token", "n")
+    once = written(of_group.where("n > 1").groupBy("n", "x").agg(F.min("token").alias("token")).select("token", "n"),
+                   "jaccard-shared")
+    memberships = Sieve(once.select("token")).rows(memberships, "token")
     by = Window.partitionBy("node").orderBy(F.col("n").desc(), "token")
     ranked = written(memberships.join(once, "token").withColumn("nth", F.row_number().over(by)), "jaccard-ranked")
     # A group is held by another if all its members have that one among their largest.

@@ -139,3 +139,17 @@ def test_first_shingles():
     assert sigtree.first_shingles(low, 100, hot, 85).tolist() == [x for x in low.tolist() if x not in (0, 20, 50)][:16]
     assert sigtree.first_shingles(low[:17], 100, hot, 85) is None
     assert sigtree.first_shingles(low[:6], 6, hot, 50).tolist() == [10, 30, 40, 20]
+
+
+def test_sieve_keeps_all_keys_and_few_others(spark):
+    from footfall.llm.common import written
+    from footfall.llm.sieve import Sieve
+
+    prepare(spark)
+    keys = written(spark.range(0, 40000, 2).selectExpr("id AS a", "cast(id % 7 AS int) AS b"), "keys")
+    rows = spark.range(40000).selectExpr("'x' AS __a", "id AS a", "cast(id % 7 AS int) AS b")
+    left = Sieve(keys).rows(rows, "a", "b")
+    assert left.columns == rows.columns
+    ids = {r["a"] for r in left.collect()}
+    assert {*range(0, 40000, 2)} <= ids and len(ids) < 24000
+    assert Sieve(keys.where("false")).rows(rows, "a", "b").count() == 0
