@@ -8,8 +8,9 @@ shows the scalable rewrite to be equal.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..operators import attachment as A
 from ..operators import dwell as D
 from ..operators import frequency as Q
+from ..operators import frequency_state as FS
+from ..operators import headcount as H
 from ..operators import origin as O
 from ..params import Params
 from ..sources import dimensions as dims
@@ -114,6 +117,19 @@ def _partition_overwrite(i: Inputs) -> DataFrame:
     return sinks.read_table(i.spark, path)
 
 
+#: Consecutive run dates of frequency_incremental: days enter the window, then leave it again.
+STATE_DAYS = [dt.date(2024, 1, 15) + dt.timedelta(days=k) for k in range(31)]
+
+
+def _frequency_incremental(i: Inputs) -> DataFrame:
+    """The frequency of 31 consecutive run dates, each from its day and the state of the day before."""
+    path = sinks.scratch_table_path(i.spark, "dwells")
+    sinks.overwrite_partitions(sinks.stamp_by_date(i.dwells, LOAD_TS), path, sinks.OUTPUT_COLUMNS["dwells"])
+    dwells, state = sinks.read_table(i.spark, path), sinks.scratch_table_path(i.spark, "frequency-states")
+    runs = [FS.advance(dwells, state, day, i.p).withColumn("run_date", F.lit(day)) for day in STATE_DAYS]
+    return reduce(DataFrame.unionByName, runs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and dimensions
     "scan_day": _dense(lambda i: scan_day(i.raw, RUN_DAY)),
@@ -148,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_frequency": _sparse(lambda i: i.users),
     "user_frequency_componentwise": _sparse(
         lambda i: Q.visit_frequency(i.dwells_table, RUN_DATE, i.p, "componentwise")),
+    "frequency_incremental": _sparse(_frequency_incremental),
     # origin
     "previous_events": _dense(lambda i: i.previous),
     "origin_candidates": _dense(lambda i: O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p)),
@@ -162,6 +179,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "band_occupancy": _dense(lambda i: A.band_occupancy(i.dwells, i.fx.time_series_table(), i.p)),
     "band_occupancy_sequence": _dense(
         lambda i: A.band_occupancy_sequence(i.dwells, BAND_STEP_S, BANDS_PER_DAY, i.p)),
+    "band_headcount": _dense(lambda i: H.band_headcount(i.dwells, i.fx.time_series_table(), i.p)),
+    "band_headcount_by_commuter": _dense(
+        lambda i: H.band_headcount(i.joined, i.fx.time_series_table(), i.p, by=["commuters"])),
     "dwell_minutes": _dense(lambda i: A.dwell_minutes(A.band_occupancy(i.dwells, i.fx.time_series_table(), i.p))),
     "attachment_joined": _dense(lambda i: i.joined),
     "attachment_final": _dense(
@@ -376,6 +396,11 @@ _FINAL: dict[str, tuple[str, str]] = {
     "user_day_visits": ("sparse", "SELECT * FROM user_day_visits"),
     "user_frequency": ("sparse", "SELECT * FROM users"),
     "user_frequency_componentwise": ("sparse", "SELECT * FROM users_componentwise"),
+    "frequency_incremental": ("sparse", f"""SELECT r.run_date, w.user_id, count(*) AS total_visits,
+       count(DISTINCT w.date_dt) AS total_days, CASE WHEN count(*) > 6 THEN 1 ELSE 0 END AS commuters
+       FROM (SELECT CAST(DATE '{STATE_DAYS[0]}' + i * INTERVAL 1 DAY AS DATE) AS run_date FROM range({len(STATE_DAYS)}) t(i)) r
+       JOIN dwells_table w ON w.date_dt BETWEEN r.run_date - INTERVAL 30 DAY AND r.run_date
+       GROUP BY r.run_date, w.user_id"""),
     "previous_events": ("dense", "SELECT * FROM prev"),
     "origin_candidates": ("dense", "SELECT * FROM cand"),
     "origin_top_cell": ("dense", "SELECT * FROM top"),
@@ -389,6 +414,9 @@ _FINAL: dict[str, tuple[str, str]] = {
     "other_trips": ("dense", "SELECT * FROM other_trips"),
     "band_occupancy": ("dense", "SELECT * FROM occupancy"),
     "band_occupancy_sequence": ("dense", "SELECT * FROM occupancy"),
+    "band_headcount": ("dense", "SELECT date_dt, ts, count(*) AS headcount FROM occupancy GROUP BY date_dt, ts"),
+    "band_headcount_by_commuter": ("dense", """SELECT date_dt, commuters, ts, count(*) AS headcount
+       FROM attachment_occupancy GROUP BY date_dt, commuters, ts"""),
     "dwell_minutes": ("dense", f"SELECT *, {_MINUTES} AS dwell_time FROM occupancy"),
     "attachment_joined": ("dense", "SELECT * FROM joined"),
     "attachment_final": ("dense", f"""SELECT date_dt, ts AS timeband, user_id, total_visits, commuters,

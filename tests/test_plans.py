@@ -9,13 +9,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from footfall.plans.catalog import QUERIES
 from footfall.schemas import TRACE
 from footfall.sources.fixtures import Fixture
 from footfall.sources.trace import scan_day, trailing_window
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-SIDE_EFFECTS = {"partition_overwrite", "load_summary"}
+SIDE_EFFECTS = {"partition_overwrite", "load_summary", "frequency_incremental"}
 
 
 def _plan(df) -> str:
@@ -25,13 +26,13 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_nested_loop_cartesian_or_python(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                        "FlatMapCoGroupsInPandas", "AggregateInPandas"):
+                        "FlatMapCoGroupsInPandas", "AggregateInPandas", "MapInArrow"):
         assert python_node not in plan          # everything stays in the JVM
 
 

@@ -47,8 +47,8 @@ def test_checkpoint_dir_created_only_when_unset(tmp_path):
     from footfall.session import ensure_checkpoint_dir
 
     class _Ctx:
-        def __init__(self, d):
-            self.d = d
+        def __init__(self, d, master="local[2]"):
+            self.d, self.master = d, master
 
         def getCheckpointDir(self):
             return self.d
