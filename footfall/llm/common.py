@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import posixpath
 from collections.abc import Iterator
 
@@ -46,6 +47,17 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that nothing reads any more.
+
+    It deletes them when the driver's garbage collector finds their dataset unreferenced, which may
+    be never in a short job; asked for after large steps, a job takes the disk of its largest step
+    rather than of their sum.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,8 +11,9 @@ kept if its score is at least that.
 
 The counts are one aggregation over all n-grams, combined before the shuffle.  Weights of the
 most frequent n-grams, at most ``FREQUENT``, are broadcast, so no frequent one is many rows of
-one task; all others meet their weights in a shuffle join.  Which way an n-gram goes does not
-change a score but for the order of a sum.
+one task; all others meet their weights in a shuffle join.  An n-gram counted once has no row there: its
+weight follows from whether its document counts for the target.  Which way an n-gram goes does
+not change a score but for the order of a sum.
 
 Base statistics are column expressions on one row; see ``base_statistics``.  No Python runs on
 the executors.
@@ -24,11 +25,12 @@ text get the same result each; without trusted documents no score rejects anythi
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, shuffle_partitions, text_of, written
+from .common import WORD, drop_written, release, shuffle_partitions, text_of, written
 
 #: N-grams whose weights are broadcast (rows of 12 bytes); the others are joined by shuffle.
 FREQUENT = 1 << 20
@@ -110,41 +112,66 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .withColumn("_calibrates", F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(5)) == 0))
 
 
-def weights(docs: DataFrame, trusted: DataFrame, frequent: int | None = None) -> DataFrame:
-    """``gram``, ``weight``, ``frequent``: log-ratio of target to raw probability, both smoothed by 1
-    over the distinct n-grams, and whether the n-gram is one of the most frequent."""
-    flagged = docs.join(trusted.where("not _calibrates"), F.col("doc_id") == F.col("_id"), "left")
-    counts = (_ngrams(flagged, F.col("_id").isNotNull().alias("_target"))
-              .groupBy("gram").agg(F.count(F.lit(1)).alias("_raw"), F.count_if("_target").alias("_good")))
-    counts = written(counts, "ngram-counts")
+def flagged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with ``_target``: whether their n-grams count for the trusted target."""
+    counted = trusted.where("not _calibrates").select("_id")
+    return (docs.join(counted, F.col("doc_id") == F.col("_id"), "left")
+            .withColumn("_target", F.col("_id").isNotNull()).drop("_id"))
+
+
+@dataclass
+class Model:
+    """``grams``: ``gram, weight, frequent`` of n-grams counted twice or more; the weights of those counted
+    once, in a document of the target or in another one."""
+    grams: DataFrame
+    once_in_target: float
+    once_elsewhere: float
+
+
+def weights(docs: DataFrame, trusted: DataFrame, frequent: int | None = None) -> Model:
+    """Log-ratios of target to raw probability, both smoothed by 1 over the distinct n-grams.  An n-gram
+    counted once needs no row: the one document that holds it says which weight it has."""
+    counts = (_ngrams(flagged(docs, trusted), F.col("_target")).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("_raw"), F.count_if("_target").alias("_good")))
+    sums = Observation()
+    counts = counts.observe(sums, F.count(F.lit(1)).alias("distinct"), F.sum("_raw").alias("raw"), F.sum("_good").alias("good"))
+    counts = written(counts.where("_raw > 1"), "ngram-counts")
+    release(docs.sparkSession)
+    distinct, raw, good = (sums.get[c] or 0 for c in ("distinct", "raw", "good"))
     # A row per sixteenth of an octave of counts: a few hundred.
     size = F.floor(16 * F.log2("_raw")).cast("int")
-    sizes = counts.groupBy(size.alias("size")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_raw").alias("r"), F.sum("_good").alias("g")).collect()
-    distinct, raw, good = (sum(r[c] for r in sizes) for c in "nrg")
     least, left = math.inf, FREQUENT if frequent is None else frequent
-    for r in sorted(sizes, key=lambda r: -r["size"]):
-        left -= r["n"]
+    for r in sorted(counts.groupBy(size.alias("size")).count().collect(), key=lambda r: -r["size"]):
+        left -= r["count"]
         if left < 0:
             break
         least = r["size"]
-    ratio = F.log((F.col("_good") + 1) / F.lit(good + distinct)) - F.log((F.col("_raw") + 1) / F.lit(raw + distinct))
-    return counts.select("gram", ratio.cast("float").alias("weight"), (size >= F.lit(float(least))).alias("frequent"))
 
+    def ratio(count, of_all):
+        return F.log((count + 1) / F.lit(good + distinct)) - F.log((of_all + 1) / F.lit(raw + distinct))
 
-def scores(docs: DataFrame, gram_weights: DataFrame) -> DataFrame:
-    """``_k1``, ``_k2``, ``score`` for every document with a word."""
+    def once(count: int) -> float:
+        return math.log((count + 1) / (good + distinct)) - math.log(2 / (raw + distinct)) if distinct else 0.0
+
+    return Model(counts.select("gram", ratio(F.col("_good"), F.col("_raw")).cast("float").alias("weight"),
+                               (size >= F.lit(float(least))).alias("frequent")), once(1), once(0))
+
+
+def scores(docs: DataFrame, trusted: DataFrame, model: Model) -> DataFrame:
+    """``_k1``, ``_k2``, ``doc_id``, ``score`` for every document with a word."""
     key = ["_k1", "_k2", "doc_id"]
-    grams = _ngrams(docs.withColumns(row_keys()), *map(F.col, key))
-    frequent = gram_weights.where("frequent").select("gram", "weight")
-    rare = gram_weights.where("not frequent").select("gram", "weight")
+    grams = _ngrams(flagged(docs, trusted).withColumns(row_keys()), *map(F.col, key), F.col("_target"))
+    frequent = model.grams.where("frequent").select("gram", "weight")
+    rare = model.grams.where("not frequent").select("gram", "weight")
 
     def sums(weighted: DataFrame) -> DataFrame:
         return weighted.groupBy(*key).agg(F.sum(F.col("weight").cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n"),
                                           F.count_if("_first").alias("_texts"))
 
+    once = F.when(F.col("_target"), F.lit(model.once_in_target)).otherwise(F.lit(model.once_elsewhere))
+    others = grams.join(F.broadcast(frequent.select("gram")), "gram", "left_anti").join(rare, "gram", "left")
     both = sums(grams.join(F.broadcast(frequent), "gram")).unionByName(
-        sums(grams.join(F.broadcast(frequent.select("gram")), "gram", "left_anti").join(rare, "gram")))
+        sums(others.withColumn("weight", F.coalesce("weight", once.cast("float")))))
     texts = F.sum("_texts")
     return both.groupBy(*key).agg(((F.sum("_s") / texts) / (F.sum("_n") / texts + SHRINK)).alias("score"))
 
@@ -175,7 +202,10 @@ def quantiles(values: DataFrame, column: str, shares: list[float]) -> list[float
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``_k1``, ``_k2`` (``row_keys``), ``score``, ``good``: whether the method keeps the text."""
     trusted = written(trusted_ids(labels), "trusted")
-    found = written(scores(docs, weights(docs, trusted)), "quality-scores")
+    model = weights(docs, trusted)
+    found = written(scores(docs, trusted, model), "quality-scores")
+    drop_written(model.grams)
+    release(docs.sparkSession)
     held = found.join(trusted.where("_calibrates"), F.col("doc_id") == F.col("_id"), "left_semi")
     q = quantiles(held, "score", [0.5, 0.01])
     threshold = float("-inf") if q is None else q[0] - 2 * (q[0] - q[1])

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, text_bytes, text_of, written
+from .common import drop_written, release, text_bytes, text_of, written
 from .hyperminhash import NO_ID, mix64
 
 STARTS_AT_ONCE = 1 << 20
@@ -165,6 +165,7 @@ def repeated_ranges(docs: DataFrame, kind: Symbols, matcher: Callable[[DataFrame
     repeated = counted.where("c > 1").select("anchor")
     found = written(whole.join(repeated, "anchor", "left_semi"), "segments")
     drop_written(whole)
+    release(docs.sparkSession)
     variants = written(
         found.groupBy("anchor", "variant").agg(
             F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "tk", "lo")).alias("first"),
@@ -172,6 +173,7 @@ def repeated_ranges(docs: DataFrame, kind: Symbols, matcher: Callable[[DataFrame
         .select("anchor", "variant", "copies", "first.*", "place", "n"), "variants")
     several = variants.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
     texts = written(pieces(variants.join(several, "anchor").drop("copies", "variants"), docs, kind), "pieces")
+    release(docs.sparkSession)
     matched = matcher(texts, kind, first_stays)
     every = F.array(F.struct(F.lit(0).alias("from"), F.col("n").alias("until")))
     none = F.array().cast("array<struct<from: int, until: int>>")

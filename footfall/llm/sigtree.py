@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_written, text_bytes, written
+from .common import drop_written, release, text_bytes, written
 from .components import components
 from .hyperminhash import NO_ID, intersections, mix64, node_of, shingle_set, text_key
 from .sieve import Sieve
@@ -451,7 +451,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
                 F.col("row._text").alias("rep_text"), "n_shingles", "head", "low", "bits"), "jaccard-nodes")
     found = written(signed.select("doc_id", "n_shingles", "node"), "jaccard-rows")
     drop_written(signed)
+    release(docs.sparkSession)
     members = written(_groups(_memberships(nodes, docs, width, percent), nodes), "jaccard-groups")
+    release(docs.sparkSession)
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
     signatures = nodes.select("node", "head", "bits")
     for most in ROUNDS:
@@ -466,6 +468,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         labels = _merged(written(_links(confirmed, percent), "jaccard-links"), labels)
         for scratch in (sets, dealt, partnered):
             drop_written(scratch)
+        release(docs.sparkSession)
     final = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("first_id").alias("component"))
