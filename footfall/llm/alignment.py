@@ -90,7 +90,7 @@ class Aligner:
 
         merges = MergeList(path_a)
         merges.specials, merges.special_pattern = {}, None  # their strings are plain text here
-        self._encode_a = merges.encode
+        self.merges = merges
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = [merges.token_bytes.get(i, b"") for i in range(max(merges.token_bytes) + 1)]
         self.bytes_b = [self._piece_bytes(i) for i in range(self.model.get_piece_size())]
@@ -126,40 +126,48 @@ class Aligner:
                 codes.update(a << 32 | b for a in by_bytes[0].get(t[k:], ()))
         return np.array(sorted(codes), np.int64)
 
-    def _checked(self, text: str) -> tuple[bytes, bytes] | None:
-        """Ids of a text by A and by B as bytes of unsigned 32-bit integers; None where one of the
+    def _checked(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of texts by A and by B as bytes of unsigned 32-bit integers; None where one of the
         tokenizers does not give back space and text."""
-        whole = (" " + text).encode()
-        a, b = array("I", self._encode_a(" " + text)), self.model.encode(text)
-        same = (b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole)
-        return (a.tobytes(), array("I", b).tobytes()) if same else None
-
-    def _by_units(self, text: str) -> list[tuple[bytes, bytes]] | None:
-        """Ids of the parts between single spaces, remembered; None where parts are not enough."""
-        parts = text.split(" ")
-        found = list(map(self.known.get, parts))
-        if None in found:
-            for i, p in enumerate(parts):
-                if found[i] is None:
-                    if not p or p[0].isspace() or p[-1].isspace():
-                        return None
-                    if (ids := self.older.get(p)) is None and (ids := self._checked(p)) is None:
-                        return None
-                    found[i] = ids
-                    if len(p) <= CACHED_CHARS:
-                        self.known[p] = ids
-        return found
+        out = []
+        for t, b in zip(texts, self.model.encode(texts, num_threads=1) if texts else ()):
+            whole = b" " + t.encode()
+            # Letters behind one space are one pre-token of A.
+            a = self.merges.merge_all(whole) if len(whole) <= 64 and t.isalpha() else [*self.merges.encode(" " + t)]
+            same = (b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole)
+            out.append((array("I", a).tobytes(), array("I", b).tobytes()) if same else None)
+        return out
 
     def encode(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids by A and B per text; none where one of them does not give back space and text."""
+        """Ids by A and B per text; none where one of them does not give back space and text.
+
+        Texts are cut into the parts between single spaces, and short parts are remembered; a text with
+        other spaces, or with a part that is not given back, is encoded as a whole.
+        """
         if len(self.known) >= CACHE_ENTRIES:
             self.known, self.older = {}, self.known
-        out = []
+        cut, new = [], {}
         for t in texts.to_pylist():
-            found = self._by_units(t) if t and self.units_are_apart else None
-            if found is None:
-                found = [(t and self._checked(t)) or (b"", b"")]
+            parts = t.split(" ") if t and self.units_are_apart else None
+            if parts:
+                for p in parts:
+                    if p not in self.known:
+                        if (ids := self.older.get(p)) is not None:
+                            self.known[p] = ids
+                        elif not p or p[0].isspace() or p[-1].isspace():
+                            parts = None
+                            break
+                        else:
+                            new[p] = None
+            cut.append((t or "", parts))
+        new = dict(zip(new, self._checked([*new])))
+        out, none = [], (b"", b"")
+        for t, parts in cut:
+            found = [self.known.get(p) or new[p] for p in parts] if parts else [None]
+            if None in found:
+                found = [(t and self._checked([t])[0]) or none]
             out.append(tuple(np.frombuffer(b"".join(ids), np.uint32).astype(np.int64) for ids in zip(*found)))
+        self.known |= {p: ids for p, ids in new.items() if ids is not None and len(p) <= CACHED_CHARS}
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
