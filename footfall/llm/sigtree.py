@@ -17,7 +17,7 @@ else.  Which shingles are taken for hot changes the work, not the result.  Group
 members are one (by count and a 64-bit hash), and a group whose members are all in one of each
 other's ``LARGEST`` largest groups is dropped for that one.  A group is cut into bands of set sizes a
 factor of the threshold apart; a node is also a foreign member of the band below if a partner can
-be there.
+be there.  Groups with the same members in a band are one there, too.
 
 Rounds.  The links wanted are those that join components.  Round one asks each node's largest
 group, round two its three largest, round three all groups; before each, groups of one component
@@ -49,7 +49,7 @@ from .components import components
 from .hyperminhash import NO_ID, intersections, mix64, node_of, shingle_set, text_key
 from .sieve import Sieve
 
-LEAST_BITS, MOST_BITS = 64, 8192
+LEAST_BITS, MOST_BITS = 64, 1 << 15
 FAN = 16
 BLOCK = 4096
 #: Shingles of at least so many nodes are put last in the order; so many of them at most (16 bytes each).
@@ -352,8 +352,10 @@ def _dealt(members: DataFrame, percent: int, complete: bool) -> DataFrame:
               .withColumn("band", F.explode(F.sequence(F.least(lowest, own), own)))
               .withColumn("own", F.col("band") == F.col("own_band")).drop("own_band"))
     of_band = (banded.groupBy("token", "band").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("own").alias("owned"))
-        .where("lo <> hi and owned").select("token", "band", "rows"))
+        F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("own").alias("owned"),
+        F.bit_xor(F.xxhash64("node")).alias("x")).where("lo <> hi and owned"))
+    # Of groups that differ in other bands only, one is left in this band.
+    of_band = of_band.groupBy("band", "rows", "x").agg(F.min("token").alias("token")).select("token", "band", "rows")
     banded = written(banded.join(of_band, ["token", "band"]), "jaccard-banded")
     columns = ["token", "band", "i", "j", "node", "n_shingles", "label", "own"]
     zero = F.lit(0).cast("long")
