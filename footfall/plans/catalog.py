@@ -15,6 +15,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import asof
 from ..operators import attachment as A
 from ..operators import dwell as D
 from ..operators import frequency as Q
@@ -167,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequency_incremental": _sparse(_frequency_incremental),
     # origin
     "previous_events": _dense(lambda i: i.previous),
+    "last_event_before": _dense(lambda i: asof.last_event_before(i.trace, i.dwells_written, i.p)),
     "origin_candidates": _dense(lambda i: O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p)),
     "origin_top_cell": _dense(
         lambda i: O.origin_top_cell(O.origin_candidates(i.previous, i.fx.area_cell_table(), i.p))),
@@ -402,6 +404,11 @@ _FINAL: dict[str, tuple[str, str]] = {
        JOIN dwells_table w ON w.date_dt BETWEEN r.run_date - INTERVAL 30 DAY AND r.run_date
        GROUP BY r.run_date, w.user_id"""),
     "previous_events": ("dense", "SELECT * FROM prev"),
+    "last_event_before": ("dense", """SELECT d.date_dt, d.user_id, d.first_event, d.last_event,
+       e.start_dt AS last_known_event, e.cell_id AS last_known_cell
+       FROM dwells d ASOF LEFT JOIN (
+         SELECT user_id, start_dt, max(cell_id) AS cell_id FROM trace GROUP BY user_id, start_dt) e
+       ON d.user_id = e.user_id AND d.first_event > e.start_dt"""),
     "origin_candidates": ("dense", "SELECT * FROM cand"),
     "origin_top_cell": ("dense", "SELECT * FROM top"),
     "origin_msoa": ("dense", """SELECT o.date_dt, o.user_id, o.first_event, o.last_event AS last_known_event,
