@@ -185,14 +185,16 @@ def _with_vectors(docs: DataFrame, keep: list[str], out: str, schema: str, vecto
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> tuple[np.ndarray, Network]:
-    """Word vectors over all of ``docs`` and the network fitted outside the held-out fold."""
+    """Word vectors over all of ``docs`` and the network fitted outside the held-out fold, on ``rows`` labelled
+    ids, by a hash of the id; of several texts of one id the smallest."""
     vectors = word_vectors(docs)
     usable = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(rows))
-    sample = docs.join(F.broadcast(written(usable, "labelled")), F.col("doc_id") == F.col("_id"))
+    sample = (docs.select("doc_id", "text").join(F.broadcast(written(usable, "labelled")), F.col("doc_id") == F.col("_id"))
+              .groupBy("doc_id", "_y").agg(F.min("text").alias("text")))
     found = (_with_vectors(sample, ["doc_id", "_y"], "x", "array<float>", vectors, None)
-             .limit(2 * rows).toPandas().sort_values("doc_id", kind="stable"))
+             .toPandas().sort_values("doc_id", kind="stable"))
     x = np.array(found["x"].tolist(), np.float32).reshape(-1, FEATURES)
     return vectors, fit(x, found["_y"].to_numpy(np.float64))
 

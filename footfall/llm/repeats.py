@@ -36,6 +36,9 @@ from .common import drop_written, release, text_bytes, text_of, written
 from .hyperminhash import NO_ID, mix64
 
 STARTS_AT_ONCE = 1 << 20
+#: Bits for a place in such a part; the same for every part, so that equal windows of long and short
+#: texts compare the same bits of their hashes.
+PLACE_BITS = np.uint64(22)
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 SEGMENT = "anchor long, variant long, id long, tk long, lo long, place int, n int"
@@ -72,7 +75,7 @@ def window_minima(g: np.ndarray, width: int) -> np.ndarray:
     The lower bits hold the distance from the end, so that one minimum carries value and place.
     """
     n = len(g)
-    bits = np.uint64(n.bit_length())
+    bits = PLACE_BITS
     low = (np.uint64(1) << bits) - np.uint64(1)
     value, size = g >> bits << bits | np.arange(n, 0, -1, dtype=np.uint64), 1
     while 2 * size <= width:
