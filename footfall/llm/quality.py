@@ -1,22 +1,16 @@
 """Quality rules: base statistics and a hashed n-gram log-likelihood ratio.
 
-Words and pairs of neighbouring words are keyed by 64-bit hashes (two of n distinct n-grams meet
-with a chance of n**2 / 2**65).  Two multinomials over all n-grams of the corpus are counted: the
-raw corpus (every document) and the trusted target (every document labelled good and not toxic).
+Words and pairs of neighbouring words are hashed n-grams.  Two multinomials over all n-grams of the
+corpus are counted: the raw corpus (every document) and the trusted target (every document labelled
+good and not toxic).
 A document's score is the sum of log-ratios of its n-grams divided by their number plus
 ``SHRINK`` (so that very short texts stay near the neutral 0).  A fifth of the trusted documents,
 by hash, is left out of the counts and sets the threshold:
 ``median - 2 * (median - 1st percentile)`` of their scores.  Each document, trusted or not, is
 kept if its score is at least that.
 
-The counts are one aggregation over all n-grams, combined before the shuffle.  Weights of the
-most frequent n-grams, at most ``FREQUENT``, are broadcast, so no frequent one is many rows of
-one task; all others meet their weights in a shuffle join.  An n-gram counted once has no row there: its
-weight follows from whether its document counts for the target.  Which way an n-gram goes does
-not change a score but for the order of a sum.
-
-Base statistics are column expressions on one row; see ``base_statistics``.  No Python runs on
-the executors.
+N-grams are counted and looked up by ``ngrams`` in Arrow batches: as rows of built-in functions they took
+four times the input on disk.  Base statistics are column expressions on one row; see ``base_statistics``.
 
 Defined results: null text is the empty text: no words, base failed; rows with the same id and
 text get the same result each; without trusted documents no score rejects anything.
@@ -25,15 +19,13 @@ text get the same result each; without trusted documents no score rejects anythi
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, drop_written, release, shuffle_partitions, text_of, written
+from . import ngrams
+from .common import WORD, prepare, shuffle_partitions, text_of, written
 
-#: N-grams whose weights are broadcast (rows of 12 bytes); the others are joined by shuffle.
-FREQUENT = 1 << 20
 SHRINK = 16
 SYMBOLS = r"[#*$%&|<>]"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -44,11 +36,6 @@ def words(text: str = "text") -> Column:
     return F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0))
 
 
-def _pairs(a: Column) -> Column:
-    """Each word with the word after it (null after the last)."""
-    return F.arrays_zip(a.alias("a"), F.slice(a, 2, F.greatest(F.size(a), F.lit(1))).alias("b"))
-
-
 def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``.
 
@@ -92,19 +79,6 @@ def row_keys(text: str = "text") -> dict[str, Column]:
     return {"_k1": F.xxhash64("doc_id", text), "_k2": F.xxhash64(F.lit(1), F.length(text), text, "doc_id")}
 
 
-def _ngrams(docs: DataFrame, *keep: Column) -> DataFrame:
-    """A row per n-gram: ``keep`` and ``gram`` (its hash); ``_first`` marks the text's first."""
-    w = F.col("_w")
-    rows = docs.select(*keep, words().alias("_w")).select(
-        *[c.alias(n) for c, n in ((F.col(n), n) for n in docs.select(*keep).columns)],
-        F.posexplode(_pairs(w)).alias("_i", "_p"))
-    names = docs.select(*keep).columns
-    two = F.array(F.xxhash64("_p.a"), F.xxhash64("_p.a", F.coalesce("_p.b", F.lit(""))))
-    return rows.select(*names, F.posexplode(two).alias("_j", "_h"), "_i").select(
-        *names, F.col("_h").alias("gram"),
-        ((F.col("_i") == 0) & (F.col("_j") == 0)).alias("_first"))
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Ids of the trusted documents, all of them, and whether they only calibrate."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
@@ -113,67 +87,19 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def flagged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``docs`` with ``_target``: whether their n-grams count for the trusted target."""
-    counted = trusted.where("not _calibrates").select("_id")
-    return (docs.join(counted, F.col("doc_id") == F.col("_id"), "left")
-            .withColumn("_target", F.col("_id").isNotNull()).drop("_id"))
-
-
-@dataclass
-class Model:
-    """``grams``: ``gram, weight, frequent`` of n-grams counted twice or more; the weights of those counted
-    once, in a document of the target or in another one."""
-    grams: DataFrame
-    once_in_target: float
-    once_elsewhere: float
-
-
-def weights(docs: DataFrame, trusted: DataFrame, frequent: int | None = None) -> Model:
-    """Log-ratios of target to raw probability, both smoothed by 1 over the distinct n-grams.  An n-gram
-    counted once needs no row: the one document that holds it says which weight it has."""
-    counts = (_ngrams(flagged(docs, trusted), F.col("_target")).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("_raw"), F.count_if("_target").alias("_good")))
-    sums = Observation()
-    counts = counts.observe(sums, F.count(F.lit(1)).alias("distinct"), F.sum("_raw").alias("raw"), F.sum("_good").alias("good"))
-    counts = written(counts.where("_raw > 1"), "ngram-counts")
-    release(docs.sparkSession)
-    distinct, raw, good = (sums.get[c] or 0 for c in ("distinct", "raw", "good"))
-    # A row per sixteenth of an octave of counts: a few hundred.
-    size = F.floor(16 * F.log2("_raw")).cast("int")
-    least, left = math.inf, FREQUENT if frequent is None else frequent
-    for r in sorted(counts.groupBy(size.alias("size")).count().collect(), key=lambda r: -r["size"]):
-        left -= r["count"]
-        if left < 0:
-            break
-        least = r["size"]
-
-    def ratio(count, of_all):
-        return F.log((count + 1) / F.lit(good + distinct)) - F.log((of_all + 1) / F.lit(raw + distinct))
-
-    def once(count: int) -> float:
-        return math.log((count + 1) / (good + distinct)) - math.log(2 / (raw + distinct)) if distinct else 0.0
-
-    return Model(counts.select("gram", ratio(F.col("_good"), F.col("_raw")).cast("float").alias("weight"),
-                               (size >= F.lit(float(least))).alias("frequent")), once(1), once(0))
-
-
-def scores(docs: DataFrame, trusted: DataFrame, model: Model) -> DataFrame:
-    """``_k1``, ``_k2``, ``doc_id``, ``score`` for every document with a word."""
-    key = ["_k1", "_k2", "doc_id"]
-    grams = _ngrams(flagged(docs, trusted).withColumns(row_keys()), *map(F.col, key), F.col("_target"))
-    frequent = model.grams.where("frequent").select("gram", "weight")
-    rare = model.grams.where("not frequent").select("gram", "weight")
-
-    def sums(weighted: DataFrame) -> DataFrame:
-        return weighted.groupBy(*key).agg(F.sum(F.col("weight").cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n"),
-                                          F.count_if("_first").alias("_texts"))
-
-    once = F.when(F.col("_target"), F.lit(model.once_in_target)).otherwise(F.lit(model.once_elsewhere))
-    others = grams.join(F.broadcast(frequent.select("gram")), "gram", "left_anti").join(rare, "gram", "left")
-    both = sums(grams.join(F.broadcast(frequent), "gram")).unionByName(
-        sums(others.withColumn("weight", F.coalesce("weight", once.cast("float")))))
-    texts = F.sum("_texts")
-    return both.groupBy(*key).agg(((F.sum("_s") / texts) / (F.sum("_n") / texts + SHRINK)).alias("score"))
+    """Keys, text and ``flags`` of ``docs``: whether n-grams count for the trusted target, or calibrate."""
+    flags = F.when(F.col("_calibrates"), F.lit(ngrams.CALIBRATES)).when(~F.col("_calibrates"), F.lit(ngrams.TARGET)).otherwise(0)
+    return (docs.select("doc_id", "text", *[c.alias(n) for n, c in row_keys().items()])
+            .join(trusted, F.col("doc_id") == F.col("_id"), "left")
+            .select("_k1", "_k2", flags.cast("int").alias("flags"), "text"))
+
+
+def scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``_k1``, ``_k2``, ``_calibrates``, ``score`` for every document with a word, once for equal rows."""
+    sums, constant = ngrams.log_ratio_sums(flagged(docs, trusted))
+    score = (F.col("_s") + F.col("_n") * F.lit(constant)) / (F.col("_n") + SHRINK)
+    return (sums.withColumn("score", score).groupBy("_k1", "_k2")
+            .agg((F.max("flags") == ngrams.CALIBRATES).alias("_calibrates"), F.max("score").alias("score")))
 
 
 def quantiles(values: DataFrame, column: str, shares: list[float]) -> list[float] | None:
@@ -201,15 +127,12 @@ def quantiles(values: DataFrame, column: str, shares: list[float]) -> list[float
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``_k1``, ``_k2`` (``row_keys``), ``score``, ``good``: whether the method keeps the text."""
-    trusted = written(trusted_ids(labels), "trusted")
-    model = weights(docs, trusted)
-    found = written(scores(docs, trusted, model), "quality-scores")
-    drop_written(model.grams)
-    release(docs.sparkSession)
-    held = found.join(trusted.where("_calibrates"), F.col("doc_id") == F.col("_id"), "left_semi")
+    prepare(docs.sparkSession)
+    found = written(scores(docs, written(trusted_ids(labels), "trusted")), "quality-scores")
+    held = found.where("_calibrates")
     q = quantiles(held, "score", [0.5, 0.01])
     threshold = float("-inf") if q is None else q[0] - 2 * (q[0] - q[1])
-    return found.select("_k1", "_k2", "score", (F.col("score") >= F.lit(threshold)).alias("good")).distinct()
+    return found.select("_k1", "_k2", "score", (F.col("score") >= F.lit(threshold)).alias("good"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

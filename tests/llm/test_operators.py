@@ -332,10 +332,11 @@ def test_quality_and_classifier_with_few_labels(spark, docs, none):
     assert classifier.score(none, *classifier.train(none, labels)).count() == 0
 
 
-@pytest.mark.parametrize("frequent", [1 << 20, 5, 0])
-def test_quality_scores(spark, docs, frequent, monkeypatch):
-    """Scores, threshold and verdict from plain counts of n-grams, whichever way weights are joined."""
-    monkeypatch.setattr(quality, "FREQUENT", frequent)
+@pytest.mark.parametrize("block, part, passes", [(1 << 24, 1 << 23, 2), (2000, 500, 3), (1, 1 << 23, 1)])
+def test_quality_scores(spark, docs, block, part, passes, monkeypatch):
+    """Scores, threshold and verdict from plain counts of n-grams, however texts and hashes are cut."""
+    for name, value in (("BLOCK_BYTES", block), ("RANGE_BYTES", part), ("PASSES", passes)):
+        monkeypatch.setattr(quality.ngrams, name, value)
     rnd = random.Random(8)
     words = [f"w{i}" for i in range(30)]
     extra = [(100 + i, " ".join(rnd.choice(words) for _ in range(60))) for i in range(60)]
