@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import posixpath
 from collections.abc import Iterator
 
@@ -30,11 +29,24 @@ def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: Spark deletes the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared scratch folder and read back (cuts lineage)."""
+    """``df`` written as Parquet to the shared scratch folder and read back (cuts lineage).
+
+    What the write has shuffled is deleted when it has ended, so a job takes the disk of its largest step
+    rather than of their sum; a lost executor during the write is recovered from them as ever.
+    """
     spark = df.sparkSession
     path = scratch_table_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,17 +59,6 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that nothing reads any more.
-
-    It deletes them when the driver's garbage collector finds their dataset unreferenced, which may
-    be never in a short job; asked for after large steps, a job takes the disk of its largest step
-    rather than of their sum.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

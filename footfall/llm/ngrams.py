@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, release, shuffle_partitions, text_bytes, written
+from .common import drop_written, shuffle_partitions, text_bytes, written
 
 BLOCK_BYTES = 16 << 20
 RANGE_BYTES = 8 << 20
@@ -243,13 +243,10 @@ def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes:
         only = range(parts * i // passes, parts * (i + 1) // passes)
         counts = block_counts(table, parts, only).repartition(max(len(only) // 8, min(len(only), shuffle_partitions(spark))), "part")
         tables.append(written(range_weights(counts), "ngram-weights"))
-        del counts
-        release(spark)
     weights = reduce(DataFrame.unionByName, tables)
     distinct, raw, good = (x or 0 for x in weights.agg(F.sum("distinct"), F.sum("raw"), F.sum("good")).first())
     tasks = max(n_blocks // 8, min(max(1, n_blocks), shuffle_partitions(spark)))
     sums = written(text_sums(table, weights.select("block", "part", "n", "weights"), tasks), "ngram-sums")
     for t in (table, *tables):
         drop_written(t)
-    release(spark)
     return sums, math.log(raw + distinct) - math.log(good + distinct) if distinct else 0.0
