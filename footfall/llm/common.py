@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,17 @@ def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Inside, what a query has shuffled is deleted when it has ended."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared scratch folder and read back (cuts lineage).
 
@@ -41,12 +53,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_table_path(spark, name)
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with shuffles_deleted(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import posixpath
 from collections.abc import Iterator
 from functools import cache, reduce
 
@@ -32,11 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, shuffle_partitions, text_bytes, written
+from ..plans.sinks import scratch_table_path
+from .common import drop_written, shuffle_partitions, shuffles_deleted, text_bytes, written
 
 BLOCK_BYTES = 16 << 20
 RANGE_BYTES = 8 << 20
-PASSES = 2
+PASSES = 4
 HASH_BITS = 52
 #: Bytes hashed at once; longer words take another hash.
 PIECE = 1 << 18
@@ -126,13 +128,14 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Texts of ``docs`` (``_k1``, ``_k2``, ``flags``, ``text``) in blocks of about ``block_bytes``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, schema = TaskContext.get().partitionId(), 0, _schema(_BLOCK)
+        codec = pa.Codec("zstd", compression_level=5)
         k1, k2, flags, texts, size = [], [], [], [], 0
 
         def row() -> pa.RecordBatch:
             ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
             text = b"\n".join([*texts, b""])
             values = [(part << 32) + made, len(text), np.array(k1, np.int64).tobytes(), np.array(k2, np.int64).tobytes(),
-                      bytes(flags), ends.tobytes(), pa.compress(text, codec="zstd", asbytes=True)]
+                      bytes(flags), ends.tobytes(), codec.compress(text, asbytes=True)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
         for batch in batches:
@@ -149,6 +152,17 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.select("_k1", "_k2", "flags", "text").mapInArrow(run, _BLOCK)
 
 
+def bucketed(table: DataFrame) -> tuple[DataFrame, str]:
+    """``table`` written in buckets of ``block``, so that it need not be shuffled to meet its weights; and its name."""
+    spark = table.sparkSession
+    path = scratch_table_path(spark, "ngram-blocks")
+    name = posixpath.basename(path).replace("-", "_")
+    with shuffles_deleted(spark):
+        (table.write.bucketBy(shuffle_partitions(spark), "block").option("path", path).option("compression", "none")
+         .saveAsTable(name))
+    return spark.table(name), name
+
+
 def _text_of_block(size: int, text: bytes) -> bytes:
     return pa.decompress(text, size, codec="zstd", asbytes=True)
 
@@ -202,7 +216,7 @@ def range_weights(counts: DataFrame) -> DataFrame:
     return counts.groupBy("part").applyInArrow(run, _WEIGHTS)
 
 
-def text_sums(table: DataFrame, weights: DataFrame, tasks: int) -> DataFrame:
+def text_sums(table: DataFrame, weights: DataFrame) -> DataFrame:
     """Per text with a word: keys, flags, the sum of its n-grams' weights and their number."""
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         schema = _schema(_SUMS)
@@ -221,9 +235,9 @@ def text_sums(table: DataFrame, weights: DataFrame, tasks: int) -> DataFrame:
                    word + pair, 2 * n)
         return pa.Table.from_arrays([pa.array(c[some], f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    # A block's weights are one group beside its text.
-    return (table.repartition(tasks, "block").groupBy("block").cogroup(weights.repartition(tasks, "block").groupBy("block"))
-            .applyInArrow(run, _SUMS))
+    # A block's weights are one group beside its text, which stays where its bucket is.
+    sent = weights.repartition(shuffle_partitions(table.sparkSession), "block")
+    return table.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, _SUMS)
 
 
 def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes: int | None = None,
@@ -234,8 +248,8 @@ def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes:
     ``docs`` has ``_k1``, ``_k2`` (long), ``flags`` (int: ``TARGET``, ``CALIBRATES``) and ``text``.
     """
     spark = docs.sparkSession
-    table = written(blocks(docs, block_bytes or BLOCK_BYTES), "ngram-blocks")
-    n_blocks, size = table.agg(F.count(F.lit(1)), F.sum("size")).first()
+    table, name = bucketed(blocks(docs, block_bytes or BLOCK_BYTES))
+    size = table.agg(F.sum("size")).first()[0]
     parts = 1 << max(0, math.ceil(math.log2(max(1, (size or 0) / (range_bytes or RANGE_BYTES)))))
     passes = min(parts, passes or PASSES)
     tables = []
@@ -245,8 +259,8 @@ def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes:
         tables.append(written(range_weights(counts), "ngram-weights"))
     weights = reduce(DataFrame.unionByName, tables)
     distinct, raw, good = (x or 0 for x in weights.agg(F.sum("distinct"), F.sum("raw"), F.sum("good")).first())
-    tasks = max(n_blocks // 8, min(max(1, n_blocks), shuffle_partitions(spark)))
-    sums = written(text_sums(table, weights.select("block", "part", "n", "weights"), tasks), "ngram-sums")
+    sums = written(text_sums(table, weights.select("block", "part", "n", "weights")), "ngram-sums")
     for t in (table, *tables):
         drop_written(t)
+    spark.sql(f"DROP TABLE {name}")
     return sums, math.log(raw + distinct) - math.log(good + distinct) if distinct else 0.0
