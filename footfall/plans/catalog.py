@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import asof
 from ..operators import attachment as A
+from ..operators import dominance
 from ..operators import dwell as D
 from ..operators import frequency as Q
 from ..operators import frequency_state as FS
@@ -155,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         i.micro_written, D.macro_dwells(i.micro_written, i.p), i.p)),
     "dwells_as_reference": _dense(lambda i: D.resolve_as_reference(
         i.micro_written, D.macro_dwells(i.micro_written, i.p), i.p)),
+    "dominating_macros": _dense(lambda i: dominance.dominating_macros(i.micro_written, D.macro_dwells(i.micro_written, i.p))),
     "dwells_islands": _dense(lambda i: i.dwells),
     "dwells_of_day": _dense(lambda i: scan_day(i.dwells_table, RUN_DAY)),
     # visit frequency
@@ -391,6 +393,11 @@ _FINAL: dict[str, tuple[str, str]] = {
     "macro_dwells": ("dense", "SELECT date_dt, user_id, first_event, last_event FROM macro"),
     "dwells_contained": ("dense", "SELECT * FROM dwells"),
     "dwells_as_reference": ("dense", "SELECT * FROM dwells_ref"),
+    "dominating_macros": ("dense", """SELECT mi.date_dt, mi.user_id, mi.first_event, mi.last_event, count(ma.first_event) AS n_macro,
+       min(ma.first_event) AS nearest_first, arg_min(ma.last_event, (ma.first_event, ma.last_event)) AS nearest_last
+       FROM micro mi LEFT JOIN (SELECT DISTINCT date_dt, first_event, last_event FROM macro) ma
+       ON mi.date_dt = ma.date_dt AND ma.first_event >= mi.first_event AND ma.last_event >= mi.last_event
+       GROUP BY mi.date_dt, mi.user_id, mi.first_event, mi.last_event"""),
     "dwells_islands": ("dense", "SELECT * FROM dwells"),
     "dwells_of_day": ("dense", "SELECT * FROM dwells_table WHERE year = '2024' AND month = '01' AND day = '15'"),
     "window_trailing": ("dense", "SELECT * FROM window_trailing"),
