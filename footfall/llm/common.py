@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,19 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def any_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage``, which returns the columns of its first table, for tables with columns of any names.
+
+    Columns other than ``doc_id``, ``text`` and ``source`` get other names inside, so that none clashes with a
+    helper column, and have their own again in the result.
+    """
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        inside = [n if n in ("doc_id", "text", "source") else f"_other{i}" for i, n in enumerate(docs.columns)]
+        return stage(docs.toDF(*inside), *args, **kwargs).toDF(*docs.columns)
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

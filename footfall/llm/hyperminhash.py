@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, text_bytes, text_of, written
+from .common import any_columns, drop_written, text_bytes, text_of, written
 from .components import components
 from .quality import row_keys
 
@@ -374,6 +374,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+@any_columns
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one row of each group stays, of the smallest
     id (null last), then by a hash of id and text; of rows equal in both, any one.  Rows

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_of, written
+from .common import WORD, any_columns, text_of, written
 
 ROWS_PER_RANGE = 4_000
 RANGES = 1 << 40  # values of a key
@@ -95,6 +95,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     return mix(docs.select("doc_id", "source", word_count().alias("size")), ["doc_id"], **options)
 
 
+@any_columns
 def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, whole documents only.
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ngrams
-from .common import WORD, prepare, shuffle_partitions, text_of, written
+from .common import WORD, any_columns, prepare, shuffle_partitions, text_of, written
 
 SHRINK = 16
 SYMBOLS = r"[#*$%&|<>]"
@@ -142,6 +142,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce("good", F.lit(True)))
 
 
+@any_columns
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
     rejected = judge(docs, labels).where(~F.col("kept")).select("_k1", "_k2").distinct()

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import repeats
-from .common import text_bytes, text_of
+from .common import any_columns, text_bytes, text_of
 from .repeats import Symbols, by_batches, cut_out, merged, repeated_ranges, runs, with_ranges
 
 LENGTH, GRAM, VARIANTS, PIECES = 200, 32, 2048, 1 << 18
@@ -202,6 +202,7 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, first
     return rows.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+@any_columns
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, first_stays: bool = True) -> DataFrame:
     """``docs`` with repeated bytes cut out of ``text``; documents with nothing left go.
 

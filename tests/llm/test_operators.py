@@ -373,6 +373,30 @@ def test_quality_scores(spark, docs, block, part, passes, monkeypatch):
     assert {x["good"] for x in found} == {True, False}
 
 
+CLASHES = ["_k1", "_k2", "_id", "_i", "_tk", "_n", "_ranges", "_copy", "score", "node", "flags", "id", "Text"]
+
+
+@pytest.mark.parametrize("stage", [
+    lambda docs, labels: quality.keep_good(docs, labels), lambda docs, labels: hyperminhash.keep_first(docs),
+    lambda docs, labels: suffixarray.without_repeats(docs, 40, 16), lambda docs, labels: mixing.mixed_corpus(docs)])
+def test_stages_with_clashing_names(spark, stage):
+    """Extra columns with names of helper columns come back unchanged, and change no result."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["a", "bb", "ccc", "dd", "e"]) + str(rnd.randrange(40)) for _ in range(30)), f"s{i % 2}")
+            for i in range(20)] + [(20, None, None), (21, "", "s0"), (None, "no id " * 12, "s1")]
+    rows += [(30, rows[4][1], "s0"), rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    # Each extra column is a function of the row, so that copies of a row stay alike.
+    wide = docs.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHES])
+    plain, found = stage(docs, labels).collect(), stage(wide, labels)
+    assert found.columns == wide.columns
+    found = found.collect()
+    assert Counter(tuple(r)[:3] for r in found) == Counter(map(tuple, plain)) and len(plain) > 10
+    for r in found:
+        assert list(r)[3:] == [c + ("-" if r["doc_id"] is None else str(r["doc_id"])) for c in CLASHES]
+
+
 def test_every_trusted_label_counts(spark):
     labels = spark.range(25_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
     assert quality.trusted_ids(labels).count() == 25_000
