@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from ..operators import asof
 from ..operators import attachment as A
+from ..operators import changes
 from ..operators import dominance
 from ..operators import dwell as D
 from ..operators import frequency as Q
 from ..operators import frequency_state as FS
 from ..operators import headcount as H
 from ..operators import origin as O
+from ..operators import patterns
+from ..operators import visitor_sketches as V
 from ..params import Params
 from ..sources import dimensions as dims
 from ..sources.fixtures import (BAND_STEP_S, BANDS_PER_DAY, LOAD_TS, MAPPINGS, RUN_DATE, RUN_DAY, Fixture,
@@ -132,6 +135,38 @@ def _frequency_incremental(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, runs)
 
 
+#: The later version of the trace: on every fifth day, for a third of the users, some rows are gone, moved or doubled.
+EDITED = "day(date_dt) % 5 = 0 AND user_id % 3 = 1"
+GONE, MOVED, DOUBLED = (f"{EDITED} AND second(start_dt) % 10 = {s}" for s in (3, 4, 5))
+
+
+def _edited_trace(i: Inputs) -> DataFrame:
+    rows = i.trace.where(f"NOT coalesce({GONE}, false)")
+    moved = rows.withColumn("cell_id", F.expr(f"CASE WHEN {MOVED} THEN cell_id + 1 ELSE cell_id END"))
+    return moved.unionByName(rows.where(DOUBLED))
+
+
+def _changed_user_days(i: Inputs) -> DataFrame:
+    paths = []
+    for name, trace in (("before", i.trace), ("after", _edited_trace(i))):
+        paths.append(sinks.scratch_table_path(i.spark, f"tree-{name}"))
+        changes.write_tree(trace, paths[-1])
+    return changes.changed_user_days(i.spark, *paths)
+
+
+def _dwells_refreshed(i: Inputs) -> DataFrame:
+    return changes.refreshed_dwells(i.dwells_written, _edited_trace(i), i.fx.site_cell_table(), _changed_user_days(i), i.p)
+
+
+#: The two periods of visitors_returning.
+PERIODS = (("2024-01-01", "2024-01-14"), ("2024-01-15", "2024-01-30"))
+
+
+def _visitors_returning(i: Inputs) -> DataFrame:
+    sketches = i._written(V.area_day_sketches(i.trace, i.fx.area_cell_table()), "area-sketches")
+    return V.returning_visitors(sketches, *PERIODS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and dimensions
     "scan_day": _dense(lambda i: scan_day(i.raw, RUN_DAY)),
@@ -168,6 +203,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_frequency_componentwise": _sparse(
         lambda i: Q.visit_frequency(i.dwells_table, RUN_DATE, i.p, "componentwise")),
     "frequency_incremental": _sparse(_frequency_incremental),
+    "visitors_returning": _sparse(_visitors_returning),
+    # changes between versions
+    "changed_user_days": _dense(_changed_user_days),
+    "dwells_refreshed": _dense(_dwells_refreshed),
     # origin
     "previous_events": _dense(lambda i: i.previous),
     "last_event_before": _dense(lambda i: asof.last_event_before(i.trace, i.dwells_written, i.p)),
@@ -178,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "origin_msoa_keep_unknown": _dense(lambda i: i.origin(keep_unknown=True)),
     # arrival mode and attachment
     "rail_events": _dense(lambda i: A.rail_events(i.previous, i.fx.rail_cell_table())),
+    "arrival_paths": _dense(lambda i: patterns.arrival_paths(i.trace, i.fx.site_cell_table(), i.fx.rail_cell_table(), i.p)),
     "rail_trips": _dense(lambda i: A.rail_trips(i.previous, i.fx.rail_cell_table(), i.p)),
     "other_trips": _dense(lambda i: A.other_trips(i.previous, i.p)),
     "band_occupancy": _dense(lambda i: A.band_occupancy(i.dwells, i.fx.time_series_table(), i.p)),
@@ -266,6 +306,7 @@ trace AS (
          year, month, day
   FROM raw_trace
 ),
+trace_2 AS ({_EDITED_TRACE}),
 site AS (SELECT DISTINCT source_cell_id AS cell_id FROM site_cell_table),
 site_events AS (
   SELECT t.user_id, t.date_dt, t.start_dt, t.cell_id, t.year, t.month, t.day
@@ -373,6 +414,29 @@ overwritten AS (
 )"""
 
 
+# The edited trace in SQL, and the arrival automaton read event by event.
+_TRACE = "user_id, date_dt, start_dt, cell_id, year, month, day"
+_EDITED_TRACE = f"""SELECT user_id, date_dt, start_dt, CASE WHEN {MOVED} THEN cell_id + 1 ELSE cell_id END AS cell_id, year, month, day
+  FROM trace WHERE NOT coalesce({GONE}, false)
+  UNION ALL SELECT {_TRACE} FROM trace WHERE {DOUBLED}"""
+
+_ARRIVAL_RUN = """WITH RECURSIVE once AS (
+  SELECT user_id, start_dt, max(CASE WHEN cell_id IN (SELECT cell_id FROM site) THEN 2
+                                     WHEN cell_id IN (SELECT cell_id FROM rail) THEN 1 ELSE 0 END) AS symbol
+  FROM trace WHERE user_id IS NOT NULL AND start_dt IS NOT NULL GROUP BY user_id, start_dt
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_dt) AS k FROM once
+),
+run AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS TIMESTAMP) AS start_dt, 0 AS state, 0 AS came_from FROM once
+  UNION ALL
+  SELECT r.user_id, n.k, n.start_dt,
+         CASE WHEN n.symbol = 2 THEN 3 WHEN n.symbol = 1 THEN 1 WHEN r.state = 1 THEN 2 ELSE 0 END, r.state
+  FROM run r JOIN numbered n ON n.user_id = r.user_id AND n.k = r.k + 1
+)"""
+
+
 _MINUTES = "CAST(date_diff('second', first_event, ts) AS DOUBLE) / 60"
 
 _FINAL: dict[str, tuple[str, str]] = {
@@ -410,6 +474,25 @@ _FINAL: dict[str, tuple[str, str]] = {
        FROM (SELECT CAST(DATE '{STATE_DAYS[0]}' + i * INTERVAL 1 DAY AS DATE) AS run_date FROM range({len(STATE_DAYS)}) t(i)) r
        JOIN dwells_table w ON w.date_dt BETWEEN r.run_date - INTERVAL 30 DAY AND r.run_date
        GROUP BY r.run_date, w.user_id"""),
+    "visitors_returning": ("sparse", f"""SELECT msoa, count(DISTINCT user_id) FILTER (was) AS visitors_first,
+       count(DISTINCT user_id) FILTER (still) AS visitors_second,
+       count(DISTINCT user_id) FILTER (was AND still) AS returning, count(DISTINCT user_id) AS visitors
+       FROM (SELECT a.msoa, t.user_id, bool_or(t.date_dt <= DATE '{PERIODS[0][1]}') AS was,
+                    bool_or(t.date_dt >= DATE '{PERIODS[1][0]}') AS still
+             FROM trace t JOIN areas a ON t.cell_id = a.cell_id
+             WHERE t.date_dt BETWEEN DATE '{PERIODS[0][0]}' AND DATE '{PERIODS[1][1]}' GROUP BY a.msoa, t.user_id) u
+       GROUP BY msoa"""),
+    "changed_user_days": ("dense", f"""SELECT k.date_dt, k.user_id, coalesce(b.n, 0) AS n_before, coalesce(a.n, 0) AS n_after
+       FROM (SELECT DISTINCT date_dt, user_id FROM ((SELECT * FROM trace_2 EXCEPT ALL SELECT {_TRACE} FROM trace)
+             UNION ALL (SELECT {_TRACE} FROM trace EXCEPT ALL SELECT * FROM trace_2)) d) k
+       LEFT JOIN (SELECT date_dt, user_id, count(*) AS n FROM trace GROUP BY ALL) b
+         ON k.date_dt IS NOT DISTINCT FROM b.date_dt AND k.user_id IS NOT DISTINCT FROM b.user_id
+       LEFT JOIN (SELECT date_dt, user_id, count(*) AS n FROM trace_2 GROUP BY ALL) a
+         ON k.date_dt IS NOT DISTINCT FROM a.date_dt AND k.user_id IS NOT DISTINCT FROM a.user_id"""),
+    "dwells_refreshed": ("dense", f"""SELECT * FROM (WITH
+       site_events AS (SELECT t.* FROM trace_2 t JOIN site s ON t.cell_id = s.cell_id),
+       {DWELL_CTES}
+       SELECT * FROM dwells) refreshed"""),
     "previous_events": ("dense", "SELECT * FROM prev"),
     "last_event_before": ("dense", """SELECT d.date_dt, d.user_id, d.first_event, d.last_event,
        e.start_dt AS last_known_event, e.cell_id AS last_known_cell
@@ -424,6 +507,11 @@ _FINAL: dict[str, tuple[str, str]] = {
        o.last_event AS last_known_event, a.msoa AS origin_msoa
        FROM origin_step1 o LEFT JOIN areas a ON o.cell_id = a.cell_id"""),
     "rail_events": ("dense", "SELECT * FROM rail_events"),
+    "arrival_paths": ("dense", f"""SELECT * FROM ({_ARRIVAL_RUN}
+       SELECT CAST(start_dt AS DATE) AS date_dt, user_id, count(*) FILTER (state = 3 AND came_from = 1) AS from_rail,
+              count(*) FILTER (state = 3 AND came_from = 2) AS past_rail,
+              count(*) FILTER (state = 3 AND came_from = 0) AS from_elsewhere
+       FROM run WHERE k > 0 GROUP BY ALL) paths"""),
     "rail_trips": ("dense", "SELECT * FROM rail_trips"),
     "other_trips": ("dense", "SELECT * FROM other_trips"),
     "band_occupancy": ("dense", "SELECT * FROM occupancy"),

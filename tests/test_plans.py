@@ -16,7 +16,7 @@ from footfall.sources.trace import scan_day, trailing_window
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
-SIDE_EFFECTS = {"partition_overwrite", "load_summary", "frequency_incremental"}
+SIDE_EFFECTS = {"partition_overwrite", "load_summary", "frequency_incremental", "changed_user_days", "dwells_refreshed"}
 
 
 def _plan(df) -> str:
