@@ -25,6 +25,21 @@ def word_count(text: str = "text") -> Column:
     return F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
 
 
+def sums_before(df: DataFrame, order: list, columns: list[str], name: str) -> DataFrame:
+    """``df`` with ``_before<column>``: the sum of each column over the rows before, in a total ``order``.
+
+    Rows are sorted in ranges, written once so that the ranges stay; only a row per range is summed in one task.
+    """
+    ranged = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+    line = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (ranged.groupBy("_part").agg(*(F.sum(c).alias(c) for c in columns))
+             .select(F.col("_part").alias("_p"), *(F.coalesce(F.sum(c).over(line), F.lit(0)).alias(f"_all{c}") for c in columns)))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.withColumns({f"_in{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in columns})
+            .join(parts, F.col("_part") == F.col("_p"))
+            .select(*df.columns, *((F.col(f"_all{c}") + F.col(f"_in{c}")).alias(f"_before{c}") for c in columns)))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0,
             most: float = 3.0) -> DataFrame:
     """Words to take per source: ``share`` of all sizes in proportion to weights, at most
@@ -33,28 +48,29 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     ``sizes`` has one row per source (``source``, ``source_size``, ``n_rows``); sources by
     code point, null last, weigh ``weights`` in turn.  The result is the level ``v`` at which
     ``sum(min(most * size, weight * v))`` is the total: sources reach their cap in order of
-    ``cap / weight``, so prefix sums over that order give ``v``.  The table of sources is a
-    configuration-sized table: a few numbers a source, none per document.
+    ``cap / weight``, so prefix sums over that order give ``v``.  Numbers and prefix sums are taken by
+    ranges of sources, so a source may be a host or a URL; the driver gets the total and the level.
     """
-    every = Window.partitionBy()
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    by_level = Window.orderBy("_level", "_n")
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    rows = (sizes.withColumn("_n", number)
+    order = ["source", "source_size", "n_rows"]
+    numbered = sums_before(sizes.withColumn("_one", F.lit(1)), [F.col("source").asc_nulls_last()], ["_one"], "mix-sources")
+    rows = (numbered.withColumnRenamed("_before_one", "_n")
             .withColumn("_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                                                 (F.col("_n") % len(weights) + 1).cast("int")))
             .withColumn("_cap", F.col("source_size") * F.lit(float(most)))
-            .withColumn("_level", F.col("_cap") / F.col("_weight"))
-            .withColumn("_total", F.sum("source_size").over(every) * F.lit(float(share)))
-            .withColumn("_left", F.col("_total") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
-            .withColumn("_v", F.col("_left") / F.sum("_weight").over(after)))
+            .select(*order, "_n", "_weight", "_cap", (F.col("_cap") / F.col("_weight")).alias("_level")))
+    rows = sums_before(rows, ["_level", "_n"], ["_cap", "_weight"], "mix-levels")
+    whole = rows.agg(F.sum("source_size").alias("size"), F.sum("_weight").alias("weight")).first()
+    v = ((F.lit(float(whole.size or 0) * share) - F.col("_before_cap"))
+         / (F.lit(whole.weight or 0.0) - F.col("_before_weight")))
     # The level is that of the first source, in this order, which does not reach its cap.
-    level = F.min(F.when(F.col("_v") <= F.col("_level"), F.struct("_n0", "_v"))).over(every)
-    rows = rows.withColumn("_n0", F.row_number().over(by_level)).withColumn("_at", level)
-    target = F.when(F.col("_at").isNull() | (F.col("_n0") < F.col("_at._n0")), F.col("_cap")) \
-        .otherwise(F.col("_weight") * F.col("_at._v"))
-    return rows.select("source", "source_size", "n_rows", target.alias("target"))
+    first = (rows.withColumn("_v", v).where(F.col("_v") <= F.col("_level"))
+             .agg(F.min(F.struct("_level", "_n", "_v")).alias("at")).first().at)
+    if first is None:
+        target = F.col("_cap")
+    else:
+        capped = F.struct("_level", "_n") < F.struct(F.lit(first._level).alias("_level"), F.lit(first._n).alias("_n"))
+        target = F.when(capped, F.col("_cap")).otherwise(F.col("_weight") * F.lit(first._v))
+    return rows.select(*order, target.alias("target"))
 
 
 def mix(rows: DataFrame, keep: list[str], weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0,
@@ -104,8 +120,9 @@ def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
     """
     ids = {"_k1": F.xxhash64("text", "doc_id", "source"),
            "_k2": F.xxhash64(F.lit(1), "source", "doc_id", F.length("text"), "text")}
-    marked = docs.withColumns(ids)
-    taken = mix(marked.select("_k1", "_k2", "source", word_count().alias("size")), ["_k1", "_k2"],
+    # Texts without a word are never taken: they would be one group if their ids are null.
+    marked = docs.where(text_of().rlike(WORD)).withColumns(ids)
+    taken = mix(docs.withColumns(ids).select("_k1", "_k2", "source", word_count().alias("size")), ["_k1", "_k2"],
                 whole=True, **options)
     taken = (taken.where(F.col("size") > 0).groupBy("_k1", "_k2")
              .agg(F.sum(F.floor(F.col("taken") / F.col("size")).cast("long")).alias("_copies"),
