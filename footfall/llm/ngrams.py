@@ -10,7 +10,7 @@ then meet their weights and add them up per text.
 An n-gram is at most one entry per block, so a frequent one is no hot key, and ranges of a hash are
 equally large.  Ranges are as many as the text has ``RANGE_BYTES``: memory of a task does not grow with the
 corpus.  The counts are made in ``PASSES`` parts of the hash values, one after another, so that the shuffle of one
-part is all that lies on disk.  Nothing is left out.
+part is all that lies on disk; texts meet their weights twice, after each half of the parts.  Nothing is left out.
 
 Hashes have ``HASH_BITS`` bits: of n distinct n-grams about n**2 / 2**53 meet another one.
 
@@ -40,13 +40,18 @@ BLOCK_BYTES = 16 << 20
 RANGE_BYTES = 8 << 20
 PASSES = 4
 HASH_BITS = 52
+#: Bytes of texts whose n-grams are made at once; slices of hashes whose weights are looked up at once.
+CHUNK, SLICES = 1 << 20, 8
 #: Bytes hashed at once; longer words take another hash.
 PIECE = 1 << 18
 TARGET, CALIBRATES = 1, 2
+#: Number of the range that stands for the sums of earlier ranges.
+EARLIER = -1
 
 _BLOCK = "block long, size long, k1 binary, k2 binary, flags binary, ends binary, text binary"
 _COUNTS = "block long, part int, n int, grams binary, raw binary, good binary"
 _WEIGHTS = "block long, part int, n int, weights binary, distinct long, raw long, good long"
+_SENT = "block long, part int, n int, weights binary"
 _SUMS = "_k1 long, _k2 long, flags int, _s double, _n long"
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
 
@@ -95,10 +100,9 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return _mixed(out)
 
 
-def block_ngrams(text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams of the texts that end at ``ends`` (each with one white-space byte after it), first
-    all words, then each word with the next of its text (or none), and the text of each word."""
-    buf = np.frombuffer(text, np.uint8)
+def _text_ngrams(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts that end at ``ends`` (each with one white-space byte after it), of each word with
+    the next of its text (or none), and the text of each word."""
     inside = np.zeros(len(buf) + 2, np.int8)
     inside[1:-1] = (buf != 0x20) & ((buf < 0x09) | (buf > 0x0D))
     edges = np.flatnonzero(np.diff(inside))
@@ -108,7 +112,48 @@ def block_ngrams(text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     following = np.zeros_like(h)
     following[:-1] = np.where(doc[1:] == doc[:-1], h[1:], np.uint64(0))
     pairs = _mixed(h * np.uint64(0xD6E8FEB86659FD93) + following * np.uint64(0xA0761D6478BD642F) + np.uint64(1))
-    return np.concatenate((h, pairs)) >> np.uint64(64 - HASH_BITS), doc
+    return h >> np.uint64(64 - HASH_BITS), pairs >> np.uint64(64 - HASH_BITS), doc
+
+
+def chunk_ngrams(text: bytes, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``_text_ngrams`` of a block, some whole texts of about ``CHUNK`` bytes at a time: intermediate arrays take many
+    times the bytes they are made from."""
+    buf, first, at = np.frombuffer(text, np.uint8), 0, 0
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, at + CHUNK, "right")))
+        words, pairs, doc = _text_ngrams(buf[at:ends[last - 1]], ends[first:last] - at)
+        yield words, pairs, doc + first
+        first, at = last, int(ends[last - 1])
+
+
+def block_ngrams(text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a block's n-grams, first all words, then all pairs, and the text of each word."""
+    words, pairs, doc = zip(*chunk_ngrams(text, ends))
+    return np.concatenate((*words, *pairs)), np.concatenate(doc)
+
+
+def chosen_ngrams(text: bytes, ends: np.ndarray, good: np.ndarray, least: int, until: int) -> tuple[np.ndarray, np.ndarray]:
+    """Twice the hash, plus ``good`` of its text (0 or 1), of a block's n-grams with hashes from ``least`` on below
+    ``until``, once each in order, and their counts."""
+    held = []
+    for words, pairs, doc in chunk_ngrams(text, ends):
+        for grams in (words, pairs):
+            chosen = (grams >= np.uint64(least)) & (grams < np.uint64(until))
+            held.append(grams[chosen] << np.uint64(1) | good[doc[chosen]])
+    return np.unique(np.concatenate(held), return_counts=True)
+
+
+def gram_weights(grams: np.ndarray, weight: np.ndarray, least: int, until: int) -> np.ndarray:
+    """The weight of each n-gram with a hash from ``least`` on below ``until`` (others: 0), from those of the distinct ones
+    in order; a slice of the hashes at a time."""
+    out, known = np.zeros(len(grams), weight.dtype), 0
+    for i in range(SLICES):
+        lo, hi = (np.uint64(least + (until - least) * k // SLICES) for k in (i, i + 1))
+        at = np.flatnonzero((grams >= lo) & (grams < hi))
+        found, place = np.unique(grams[at], return_inverse=True)
+        out[at] = weight[known + place]
+        known += len(found)
+    return out
 
 
 # ------------------------------------------------------------------ packing
@@ -175,11 +220,9 @@ def block_counts(table: DataFrame, parts: int, only: range) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block, size, flags, ends, text = (batch[c][i].as_py() for c in ("block", "size", "flags", "ends", "text"))
-                grams, doc = block_ngrams(_text_of_block(size, text), np.frombuffer(ends, np.int64))
-                good = (np.frombuffer(flags, np.uint8) & TARGET).astype(np.uint64)[doc]
-                part = grams >> shift
-                chosen = (part >= only.start) & (part < only.stop)
-                keyed, n = np.unique((grams << np.uint64(1) | np.concatenate((good, good)))[chosen], return_counts=True)
+                good = (np.frombuffer(flags, np.uint8) & TARGET).astype(np.uint64)
+                keyed, n = chosen_ngrams(_text_of_block(size, text), np.frombuffer(ends, np.int64), good,
+                                         only.start << int(shift), only.stop << int(shift))
                 grams = keyed >> np.uint64(1)
                 if not len(grams):
                     continue
@@ -216,28 +259,41 @@ def range_weights(counts: DataFrame) -> DataFrame:
     return counts.groupBy("part").applyInArrow(run, _WEIGHTS)
 
 
-def text_sums(table: DataFrame, weights: DataFrame) -> DataFrame:
-    """Per text with a word: keys, flags, the sum of its n-grams' weights and their number."""
+def text_sums(table: DataFrame, weights: DataFrame, parts: int, only: range, last: bool) -> DataFrame:
+    """Per text with a word: keys, flags, the sum of its n-grams' weights and their number.
+
+    ``weights`` has the ranges ``only`` and, as range ``EARLIER``, what this function gave for those before; unless ``last``,
+    the result is such a row per block."""
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        schema = _schema(_SUMS)
+        schema = _schema(_SUMS if last else _SENT)
         if not block.num_rows or not found.num_rows:
             return schema.empty_table()
         size, k1, k2, flags, ends, text = (block[c][0].as_py() for c in ("size", "k1", "k2", "flags", "ends", "text"))
+        part, weight, total = found["part"].to_numpy(), [np.empty(0, np.float32)], np.zeros(len(flags))
+        for i in np.argsort(part).tolist():
+            data, n = found["weights"][i].as_py(), found["n"][i].as_py()
+            if part[i] == EARLIER:
+                total += np.frombuffer(data, np.float64)
+            else:
+                weight.append(unpack(data, n, "<f4"))
         grams, doc = block_ngrams(_text_of_block(size, text), np.frombuffer(ends, np.int64))
-        order = np.argsort(found["part"].to_numpy())
-        weight = np.concatenate([unpack(found["weights"][i].as_py(), found["n"][i].as_py(), "<f4") for i in order.tolist()])
-        _, at = np.unique(grams, return_inverse=True)
-        n = np.bincount(doc, minlength=len(flags))
+        shift = HASH_BITS - parts.bit_length() + 1
         # Words first, then pairs: a text's weights are added in the order of its own words wherever it stands.
-        word, pair = (np.bincount(doc, weight[a].astype(np.float64), len(flags)) for a in (at[:len(doc)], at[len(doc):]))
+        each = gram_weights(grams, np.concatenate(weight), only.start << shift, only.stop << shift)
+        word, pair = (np.bincount(doc, w.astype(np.float64), len(flags)) for w in (each[:len(doc)], each[len(doc):]))
+        total += word + pair
+        if not last:
+            values = [block["block"][0].as_py(), EARLIER, len(flags), total.tobytes()]
+            return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+        n = np.bincount(doc, minlength=len(flags))
         some = np.flatnonzero(n)
         columns = (np.frombuffer(k1, np.int64), np.frombuffer(k2, np.int64), np.frombuffer(flags, np.uint8).astype(np.int32),
-                   word + pair, 2 * n)
+                   total, 2 * n)
         return pa.Table.from_arrays([pa.array(c[some], f.type) for c, f in zip(columns, schema)], schema=schema)
 
     # A block's weights are one group beside its text, which stays where its bucket is.
     sent = weights.repartition(shuffle_partitions(table.sparkSession), "block")
-    return table.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, _SUMS)
+    return table.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, _SUMS if last else _SENT)
 
 
 def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes: int | None = None,
@@ -252,15 +308,22 @@ def log_ratio_sums(docs: DataFrame, block_bytes: int | None = None, range_bytes:
     size = table.agg(F.sum("size")).first()[0]
     parts = 1 << max(0, math.ceil(math.log2(max(1, (size or 0) / (range_bytes or RANGE_BYTES)))))
     passes = min(parts, passes or PASSES)
-    tables = []
+    distinct = raw = good = 0
+    sums, tables, since = None, [], 0
     for i in range(passes):
         only = range(parts * i // passes, parts * (i + 1) // passes)
         counts = block_counts(table, parts, only).repartition(max(len(only) // 8, min(len(only), shuffle_partitions(spark))), "part")
         tables.append(written(range_weights(counts), "ngram-weights"))
-    weights = reduce(DataFrame.unionByName, tables)
-    distinct, raw, good = (x or 0 for x in weights.agg(F.sum("distinct"), F.sum("raw"), F.sum("good")).first())
-    sums = written(text_sums(table, weights.select("block", "part", "n", "weights")), "ngram-sums")
-    for t in (table, *tables):
-        drop_written(t)
+        n = tables[-1].agg(F.sum("distinct"), F.sum("raw"), F.sum("good")).first()
+        distinct, raw, good = (a + (b or 0) for a, b in zip((distinct, raw, good), n))
+        if i + 1 in (passes, (passes + 1) // 2):
+            # Weights of half the ranges are all that lies on disk, twice while they are shuffled.
+            sent = [t.select("block", "part", "n", "weights") for t in tables] + ([] if sums is None else [sums])
+            earlier, sums = sums, written(text_sums(table, reduce(DataFrame.unionByName, sent), parts,
+                                                    range(since, only.stop), i + 1 == passes), "ngram-sums")
+            for t in (*tables, *([] if earlier is None else [earlier])):
+                drop_written(t)
+            tables, since = [], only.stop
+    drop_written(table)
     spark.sql(f"DROP TABLE {name}")
     return sums, math.log(raw + distinct) - math.log(good + distinct) if distinct else 0.0
