@@ -228,18 +228,18 @@ class UnitEncoder:
             plain = not parts or bool(first) and not first[-1].isspace()
             found = list(map(after_space.get, parts)) if plain else []
             gaps = []
-            if None in found:
-                for i, ids in enumerate(found):
-                    if ids is None:
-                        p = parts[i]
-                        if not p or p[0].isspace() or p[-1].isspace():
-                            plain = False
-                            break
-                        if (ids := parts_older.get(p)) is not None:
-                            after_space[p] = found[i] = ids
-                        else:
-                            ask_parts[p] = None
-                            gaps.append((i, p))
+            i = -1
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                p = parts[i]
+                if not p or p[0].isspace() or p[-1].isspace():
+                    plain = False
+                    break
+                if (ids := parts_older.get(p)) is not None:
+                    after_space[p] = found[i] = ids
+                else:
+                    ask_parts[p] = None
+                    gaps.append((i, p))
             plan = [first] if plain else units(text)
             for u in plan:
                 if u not in whole:

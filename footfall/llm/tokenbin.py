@@ -91,13 +91,21 @@ def library_encoder(path: str) -> tuple[UnitEncoder, int]:
         merges = merge_list(path)
         shown = {byte: char for char, byte in byte_alphabet().items()}
         pattern, model, specials = merges.pattern, tokenizer.model.tokenize, list(merges.specials)
+        space = shown[ord(" ")]
 
         def encode_one(unit: str) -> bytes:
-            """The library's merges for each pre-token; the whole library for special strings."""
-            if any(s in unit for s in specials):
-                return array("I", tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
-            return array("I", [t.id for p in pattern.findall(unit) for t in model(
-                p.encode().decode("latin-1").translate(shown))]).tobytes()
+            """The library's merges for each pre-token; the whole library for special strings.  Letters, with a space
+            before them or not, are one pre-token."""
+            for s in specials:
+                if s in unit:
+                    return array("I", tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+            word = unit[1:] if unit[:1] == " " else unit
+            if not word.isalpha():
+                return array("I", [t.id for p in pattern.findall(unit) for t in model(
+                    p.encode().decode("latin-1").translate(shown))]).tobytes()
+            if word.isascii():
+                return array("I", [t.id for t in model(word if word is unit else space + word)]).tobytes()
+            return array("I", [t.id for t in model(unit.encode().decode("latin-1").translate(shown))]).tobytes()
 
         def encode_many(strings: list[str]) -> list[bytes]:
             return list(map(encode_one, strings))
