@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ PLACE_BITS = np.uint64(22)
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 SEGMENT = "anchor long, variant long, id long, tk long, lo long, place int, n int"
+#: Segments sent from a task at once.
+SEGMENTS_AT_ONCE = 1 << 14
+STARTS = "anchor long, variant long, starts array<struct<from: int, until: int>>"
+STARTS_SCHEMA = pa.schema([("anchor", pa.int64()), ("variant", pa.int64()), ("starts", pa.list_(pa.struct(
+    [("from", pa.int32()), ("until", pa.int32())])))])
 
 
 @dataclass(frozen=True)
@@ -113,7 +119,16 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def all_segments(docs: DataFrame, kind: Symbols) -> DataFrame:
+    names = [c.split()[0] for c in SEGMENT.split(", ")]
+    types = (np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32)
+
     def run(batches):
+        held, size = [], 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c).astype(t, copy=False)) for c, t in zip(zip(*held), types)], names)
+
         for b in batches:
             for doc, tk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2))):
                 if len(text) < kind.length:
@@ -123,10 +138,13 @@ def all_segments(docs: DataFrame, kind: Symbols) -> DataFrame:
                     continue
                 for anchor, variant, lo, place, n in segments(kind.hashes(symbols), symbols, kind):
                     m = len(anchor)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor), pa.array(variant), pa.array(np.full(m, doc)), pa.array(np.full(m, tk)),
-                         pa.array(lo.astype(np.int64)), pa.array(place.astype(np.int32)),
-                         pa.array(n.astype(np.int32))], ["anchor", "variant", "id", "tk", "lo", "place", "n"])
+                    held.append((anchor, variant, np.full(m, doc), np.full(m, tk), lo, place, n))
+                    size += m
+                    if size >= SEGMENTS_AT_ONCE:
+                        yield rows()
+                        held, size = [], 0
+        if held:
+            yield rows()
 
     return keyed(docs).select("id", "tk", "text").mapInArrow(run, SEGMENT)
 
@@ -135,24 +153,29 @@ def pieces(variants: DataFrame, docs: DataFrame, kind: Symbols) -> DataFrame:
     """``variants`` with ``piece``: the symbols of their first occurrence (words joined by a space)."""
     wanted = variants.groupBy("id", "tk").agg(F.sort_array(F.collect_list(F.struct(
         "lo", "anchor", "variant", "n", "place"))).alias("wanted"))
-    texts = keyed(docs).select("id", "tk", "text").join(wanted, ["id", "tk"])
-    schema = pa.schema([("anchor", pa.int64()), ("variant", pa.int64()), ("id", pa.int64()), ("tk", pa.int64()),
-                        ("lo", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("piece", pa.binary())])
+    # Rows equal in id and text have the same pieces: one of them gives each once.
+    texts = keyed(docs).select("id", "tk", "text").join(wanted, ["id", "tk"]).dropDuplicates(["id", "tk"])
+    names = [c.split()[0] for c in SEGMENT.split(", ")] + ["piece"]
 
     def run(batches):
         for b in batches:
-            seen = set()
-            for doc, tk, text, wants in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2)),
-                                            b.column(3).to_pylist()):
-                symbols, rows = kind.split(text), []
-                for w in wants:
-                    cut = symbols[w["lo"]:w["lo"] + w["n"] + kind.length - 1]
-                    rows.append(w | {"id": doc, "tk": tk, "piece": b" ".join(cut) if kind.words else cut})
-                yield pa.RecordBatch.from_pylist(rows, schema)
-            del seen
+            wants = b.column(3)
+            counts, flat = pc.list_value_length(wants).to_numpy(), wants.flatten()
+            of_want = dict(zip((f.name for f in flat.type), flat.flatten()))
+            lo, n = of_want["lo"].to_pylist(), of_want["n"].to_pylist()
+            cuts, at = [], 0
+            for text, count in zip(text_bytes(b.column(2)), counts.tolist()):
+                symbols = kind.split(text)
+                for i in range(at, at + count):
+                    cut = symbols[lo[i]:lo[i] + n[i] + kind.length - 1]
+                    cuts.append(b" ".join(cut) if kind.words else cut)
+                at += count
+            row = np.repeat(np.arange(len(counts)), counts)
+            columns = of_want | {"id": b.column(0).take(pa.array(row)), "tk": b.column(1).take(pa.array(row)),
+                                 "piece": pa.array(cuts, pa.binary())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
 
-    found = texts.select("id", "tk", "text", "wanted").mapInArrow(run, SEGMENT + ", piece binary")
-    return found.dropDuplicates(["anchor", "variant"])
+    return texts.select("id", "tk", "text", "wanted").mapInArrow(run, SEGMENT + ", piece binary")
 
 
 def repeated_ranges(docs: DataFrame, kind: Symbols, matcher: Callable[[DataFrame, Symbols, bool], DataFrame],
@@ -247,6 +270,45 @@ def by_batches(rows: DataFrame, group: list[str], work: Callable[[list[dict]], l
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, out)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int) -> Iterator[pa.Table]:
+    """The rows of ``batches``, about ``rows`` at a time, without parting those that follow one another with
+    one value in ``column``."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        value = table[column].to_numpy()
+        others = np.flatnonzero(value != value[-1])
+        cut = int(others[-1]) + 1 if len(others) else 0
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+        size = table.num_rows - cut
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def starts_batch(anchor: np.ndarray, variant: np.ndarray, n: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
+    """``anchor, variant, starts`` of pieces with ``n`` windows each; ``found`` has a flag for every window."""
+    piece = np.repeat(np.arange(len(n)), n)
+    number = np.arange(len(found)) - np.repeat(np.cumsum(n) - n, n)
+    follows = np.zeros(len(found), bool)
+    follows[1:] = found[1:] & found[:-1] & (piece[1:] == piece[:-1])
+    begins = np.flatnonzero(found & ~follows)
+    ends = np.flatnonzero(found & ~np.append(follows[1:], False))
+    count = np.bincount(piece[begins], minlength=len(n))
+    some = np.flatnonzero(count)
+    offsets = np.r_[0, np.cumsum(count[some])].astype(np.int32)
+    ranges = pa.StructArray.from_arrays([pa.array(number[begins], pa.int32()), pa.array(number[ends] + 1, pa.int32())],
+                                        fields=list(STARTS_SCHEMA.field("starts").type.value_type))
+    return pa.RecordBatch.from_arrays([pa.array(anchor[some]), pa.array(variant[some]),
+                                       pa.ListArray.from_arrays(offsets, ranges, STARTS_SCHEMA.field("starts").type)],
+                                      schema=STARTS_SCHEMA)
+
+
 def runs(flags: np.ndarray) -> list[dict]:
     """Ranges of consecutive true values."""
     edges = np.flatnonzero(np.diff(np.r_[0, flags.astype(np.int8), 0]))

@@ -29,12 +29,9 @@ from pyspark.sql import functions as F
 
 from . import repeats
 from .common import any_columns, text_bytes, text_of
-from .repeats import Symbols, by_batches, cut_out, merged, repeated_ranges, runs, with_ranges
+from .repeats import STARTS, STARTS_SCHEMA, Symbols, by_batches, cut_out, merged, repeated_ranges, runs, with_ranges
 
 LENGTH, GRAM, VARIANTS, PIECES = 200, 32, 2048, 1 << 18
-STARTS = "anchor long, variant long, starts array<struct<from: int, until: int>>"
-STARTS_SCHEMA = pa.schema([("anchor", pa.int64()), ("variant", pa.int64()), ("starts", pa.list_(pa.struct(
-    [("from", pa.int32()), ("until", pa.int32())])))])
 
 
 def suffix_array(symbols: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,9 +1,10 @@
 """Substring dedup: prefix-partitioned suffix trees over words.
 
-``repeats`` finds the places where a window of ``length`` words may occur twice; their
-suffixes, cut to one window, are dealt out by prefixes of variable length: a prefix of 4 words
-first, 8, 12 or 16 where more than ``SUFFIXES`` suffixes share it, the whole window at last.
-So a group fits into memory whatever the texts.  A group's suffix tree is held as its sorted
+``repeats`` finds the places where a window of ``length`` words may occur twice.  Their pieces of
+text are dealt out by anchor, and a task cuts them into suffixes of one window.  The suffixes of an
+anchor with more than ``SUFFIXES`` are dealt out one by one, by prefixes of variable length: a prefix of
+4 words first, 8, 12 or 16 where more than ``SUFFIXES`` suffixes share it, the whole window at last.
+So a group fits into memory whatever the texts.  The suffix tree of some groups is held as their sorted
 suffixes and the common prefix of each with the one before: an internal node is an interval of
 them.  The topmost nodes at least ``length`` deep are the repeated windows; the smallest
 position below such a node is the first occurrence, which stays (or not, without
@@ -22,15 +23,38 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_bytes, text_of, written
-from .repeats import Symbols, cut_out, merged, repeated_ranges, with_ranges
+from .hyperminhash import _M3, mix64
+from .repeats import STARTS, Symbols, cut_out, merged, repeated_ranges, starts_batch, whole_groups, with_ranges
 
 LENGTH, GRAM = 20, 8
 PREFIXES, SUFFIXES = (4, 8, 12, 16), 20_000
+#: Pieces whose suffixes are in a tree at once.
+PIECES = 1 << 13
+
+
+def cut_suffixes(pieces: list[bytes], n: np.ndarray, kind: Symbols) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the ``n`` window starts of each piece: their numbers in the piece, their suffixes cut to one window (a row
+    of bytes each, 4 a word and 8 for the window's hash), and hashes of the prefixes and of the window."""
+    h = kind.hashes(b" ".join(pieces).split(b" "))
+    i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    sizes = n + (kind.length - 1)
+    at = np.repeat(np.cumsum(sizes) - sizes, n) + i
+    ends = [min(q, kind.length) for q in PREFIXES] + [kind.length]
+    running, hashes = np.zeros(len(at), np.uint64), {}
+    for k in range(kind.length):
+        running = mix64(running * _M3 + h[at + k] + np.uint64(k + 1))
+        if k + 1 in ends:
+            hashes[k + 1] = running
+    table = np.empty((len(at), 4 * kind.length + 8), np.uint8)
+    words = (h >> np.uint64(32)).astype(">u4").view(np.uint8).reshape(-1, 4)
+    for k in range(kind.length):
+        table[:, 4 * k:4 * k + 4] = words[at + k]
+    table[:, 4 * kind.length:] = running.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return i, table, [hashes[e].view(np.int64) for e in ends]
 
 
 def suffixes(pieces: DataFrame, kind: Symbols) -> DataFrame:
@@ -38,20 +62,16 @@ def suffixes(pieces: DataFrame, kind: Symbols) -> DataFrame:
     names = ["anchor", "variant", "i", "id", "tk", "at", *(f"p{q}" for q in PREFIXES), "window", "suffix"]
 
     def run(batches):
-        digest = xxhash.xxh64_intdigest
         for b in batches:
-            for r in b.to_pylist():
-                h = kind.hashes(r["piece"].split(b" "))
-                n, whole = r["n"], h.tobytes()
-                short = (h >> np.uint64(32)).astype(">u4").tobytes()
-                windows = [digest(whole[8 * i:8 * (i + kind.length)]) for i in range(n)]
-                columns = [np.full(n, r["anchor"]), np.full(n, r["variant"]), np.arange(n, dtype=np.int32),
-                           np.full(n, r["id"]), np.full(n, r["tk"]), np.arange(r["lo"], r["lo"] + n)]
-                columns += [np.array([digest(whole[8 * i:8 * (i + min(q, kind.length))], q) for i in range(n)],
-                                     np.uint64).view(np.int64) for q in PREFIXES]
-                columns.append(np.array(windows, np.uint64).view(np.int64))
-                cut = [short[4 * i:4 * (i + kind.length)] + w.to_bytes(8, "big") for i, w in enumerate(windows)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(cut, pa.binary())], names)
+            if not b.num_rows:
+                continue
+            n = b["n"].to_numpy()
+            i, table, hashes = cut_suffixes(b["piece"].to_pylist(), n, kind)
+            anchor, variant, doc, tk, lo = (np.repeat(b[c].to_numpy(), n) for c in ("anchor", "variant", "id", "tk", "lo"))
+            width = np.arange(0, table.size + 1, table.shape[1], dtype=np.int32)
+            cut = pa.Array.from_buffers(pa.binary(), len(table), [None, pa.py_buffer(width), pa.py_buffer(table.tobytes())])
+            columns = [anchor, variant, i.astype(np.int32), doc, tk, lo + i, *hashes]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), cut], names)
 
     return pieces.mapInArrow(run, "anchor long, variant long, i int, id long, tk long, at long, "
                              + ", ".join(f"p{q} long" for q in PREFIXES) + ", window long, suffix binary")
@@ -75,19 +95,16 @@ def deep_nodes(lcp: np.ndarray, depth: int) -> np.ndarray:
     return np.cumsum(np.r_[0, lcp[1:] < depth])
 
 
-def repeats_below(suffix: list[bytes], position: list[tuple], words: int, first_stays: bool) -> np.ndarray:
-    """Which suffixes start a window that occurs elsewhere (earlier, if the first stays)."""
-    table = np.frombuffer(b"".join(suffix), np.uint8).reshape(len(suffix), -1)
-    order = np.argsort(np.frombuffer(table.tobytes(), f"S{table.shape[1]}"), kind="stable")
+def repeats_below(table: np.ndarray, place: tuple[np.ndarray, ...], words: int, first_stays: bool) -> np.ndarray:
+    """Which suffixes (rows of ``table``, at ``id, tk, at``) start a window that occurs elsewhere (earlier, if the first
+    stays).  Equal windows have one anchor and one prefix, so a table may hold several of these."""
+    order = np.argsort(np.ascontiguousarray(table).view(f"S{table.shape[1]}").ravel(), kind="stable")
     # numpy's byte strings end at trailing zeros, which moves no window out of its run
     node = deep_nodes(common_prefixes(table[order], words), words)
-    rank = np.empty(len(suffix), np.int64)
-    by_place = sorted(range(len(suffix)), key=position.__getitem__)
-    last, number = None, -1
-    for i in by_place:
-        number += position[i] != last
-        last, rank[i] = position[i], number
-    found = np.zeros(len(suffix), bool)
+    by_place = np.lexsort(place[::-1])
+    rank = np.empty(len(table), np.int64)
+    rank[by_place] = np.cumsum(np.r_[0, np.any([np.diff(p[by_place]) != 0 for p in place], axis=0)])
+    found = np.zeros(len(table), bool)
     edges = np.flatnonzero(np.r_[True, np.diff(node) != 0])
     if first_stays:
         found[order] = rank[order] > np.minimum.reduceat(rank[order], edges)[node]
@@ -96,28 +113,25 @@ def repeats_below(suffix: list[bytes], position: list[tuple], words: int, first_
     return found
 
 
-def _subtrees(rows: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
-    """``anchor, variant, i`` of repeated windows, a tree for each ``key``."""
+def _trees(pieces: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
+    """``anchor, variant, starts``, from a tree of all suffixes of the pieces of some whole anchors."""
     def run(batches):
-        key, held = None, []
+        for t in whole_groups(batches, "anchor", PIECES):
+            anchor, variant, n, doc, tk, lo = (t[c].to_numpy() for c in ("anchor", "variant", "n", "id", "tk", "lo"))
+            i, table, _ = cut_suffixes(t["piece"].to_pylist(), n, kind)
+            place = (np.repeat(doc, n), np.repeat(tk, n), np.repeat(lo, n) + i)
+            yield starts_batch(anchor, variant, n, repeats_below(table, place, kind.length, first_stays))
 
-        def close():
-            found = repeats_below([r[6] for r in held], [r[3:6] for r in held], kind.length, first_stays)
-            hits = [r for r, f in zip(held, found) if f]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in hits], pa.int64()), pa.array([r[1] for r in hits], pa.int64()),
-                 pa.array([r[2] for r in hits], pa.int32())], ["anchor", "variant", "i"])
+    return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, STARTS)
 
-        for b in batches:
-            columns = [c.to_pylist() for c in b.columns]
-            for row in zip(*columns):
-                if row[0] != key:
-                    if len(held) > 1:
-                        yield close()
-                    key, held = row[0], []
-                held.append(row[1:])
-        if len(held) > 1:
-            yield close()
+
+def _subtrees(rows: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
+    """``anchor, variant, i`` of repeated windows, from a tree of all suffixes of some whole ``key``s."""
+    def run(batches):
+        for t in whole_groups(batches, "key", SUFFIXES):
+            table = np.frombuffer(b"".join(t["suffix"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+            found = repeats_below(table, tuple(t[c].to_numpy() for c in ("id", "tk", "at")), kind.length, first_stays)
+            yield from t.select(["anchor", "variant", "i"]).filter(pa.array(found)).to_batches()
 
     return (rows.select("key", "anchor", "variant", "i", "id", "tk", "at", "suffix").repartition("key")
             .sortWithinPartitions("key").mapInArrow(run, "anchor long, variant long, i int"))
@@ -133,6 +147,16 @@ def _by_window(rows: DataFrame, first_stays: bool) -> DataFrame:
 
 def match(pieces: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
     """``anchor, variant, starts`` (see ``repeats.repeated_ranges``)."""
+    crowded = written(pieces.groupBy("anchor").agg(F.sum("n").alias("c")).where(F.col("c") > SUFFIXES).select("anchor"),
+                      "crowded-anchors")
+    small = _trees(pieces.join(crowded, "anchor", "left_anti"), kind, first_stays)
+    if crowded.isEmpty():
+        return small
+    return small.unionByName(by_prefixes(pieces.join(crowded, "anchor", "left_semi"), kind, first_stays))
+
+
+def by_prefixes(pieces: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
+    """The same answer for anchors with more suffixes than a tree should hold."""
     left, hits = written(suffixes(pieces, kind), "suffixes"), None
     for q in PREFIXES:
         counts = left.groupBy(F.col(f"p{q}").alias("key")).agg(F.count(F.lit(1)).alias("c"))

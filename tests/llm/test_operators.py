@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -288,6 +289,28 @@ def test_suffix_tree(docs, none, crowd, monkeypatch):
     assert suffixtree.dedup_digests(none).count() == 0
 
 
+def test_small_groups_of_suffixes_are_cut_in_the_task(docs, monkeypatch):
+    """What is dealt out for anchors of few suffixes is their pieces of text, not a row per suffix."""
+    def dealt(*_):
+        raise AssertionError("a row per suffix")
+
+    monkeypatch.setattr(suffixtree, "suffixes", dealt)
+    found = collected(suffixtree.dedup_digests(docs, 20, 8))
+    for i, (x, gone) in marked(docs, 20, lambda t: t.encode().split(), True).items():
+        assert found[i]["n_removed"] == sum(gone)
+
+
+def test_groups_stay_whole_and_flags_become_ranges():
+    rows = pa.record_batch({"k": pa.array([1, 1, 2, 2, 2, 3, 3, 4], pa.int64())})
+    parts = [t["k"].to_pylist() for t in repeats.whole_groups(iter([rows.slice(i, 2) for i in range(0, 8, 2)]), "k", 2)]
+    assert sum(parts, []) == rows["k"].to_pylist()
+    assert all(not set(a) & set(b) for i, a in enumerate(parts) for b in parts[i + 1:]) and len(parts) > 1
+    found = repeats.starts_batch(np.array([7, 8, 9]), np.array([1, 2, 3]), np.array([3, 2, 4]),
+                                 np.array([0, 1, 1, 0, 0, 1, 0, 1, 1], bool)).to_pylist()
+    assert found == [{"anchor": 7, "variant": 1, "starts": [{"from": 1, "until": 3}]},
+                     {"anchor": 9, "variant": 3, "starts": [{"from": 0, "until": 1}, {"from": 2, "until": 4}]}]
+
+
 def test_suffix_order_and_previous_factors():
     rnd = random.Random(2)
     for _ in range(60):
