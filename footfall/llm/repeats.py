@@ -247,29 +247,6 @@ def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     return docs.withColumns(keys).join(found, ["_id", "_tk"], "left").drop("_id", "_tk")
 
 
-def by_batches(rows: DataFrame, group: list[str], work: Callable[[list[dict]], list[dict]], out: str,
-               symbols: int, schema: pa.Schema) -> DataFrame:
-    """``work`` over whole groups, several small ones at a time (about ``symbols`` bytes of pieces)."""
-    def run(batches):
-        key, open_rows, ready, size = None, [], [], 0
-        for b in batches:
-            for row in b.to_pylist():
-                k = tuple(row[c] for c in group)
-                if k != key:
-                    ready += open_rows
-                    key, open_rows = k, []
-                    if size >= symbols:
-                        yield pa.RecordBatch.from_pylist(work(ready), schema)
-                        ready, size = [], 0
-                open_rows.append(row)
-                size += len(row["piece"])
-        ready += open_rows
-        if ready:
-            yield pa.RecordBatch.from_pylist(work(ready), schema)
-
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, out)
-
-
 def whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int) -> Iterator[pa.Table]:
     """The rows of ``batches``, about ``rows`` at a time, without parting those that follow one another with
     one value in ``column``."""
@@ -307,9 +284,3 @@ def starts_batch(anchor: np.ndarray, variant: np.ndarray, n: np.ndarray, found:
     return pa.RecordBatch.from_arrays([pa.array(anchor[some]), pa.array(variant[some]),
                                        pa.ListArray.from_arrays(offsets, ranges, STARTS_SCHEMA.field("starts").type)],
                                       schema=STARTS_SCHEMA)
-
-
-def runs(flags: np.ndarray) -> list[dict]:
-    """Ranges of consecutive true values."""
-    edges = np.flatnonzero(np.diff(np.r_[0, flags.astype(np.int8), 0]))
-    return [{"from": int(a), "until": int(b)} for a, b in zip(edges[::2], edges[1::2])]

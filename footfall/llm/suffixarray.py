@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 
 from . import repeats
 from .common import any_columns, text_bytes, text_of
-from .repeats import STARTS, STARTS_SCHEMA, Symbols, by_batches, cut_out, merged, repeated_ranges, runs, with_ranges
+from .repeats import STARTS, Symbols, cut_out, merged, repeated_ranges, starts_batch, whole_groups, with_ranges
 
-LENGTH, GRAM, VARIANTS, PIECES = 200, 32, 2048, 1 << 18
+LENGTH, GRAM, VARIANTS = 200, 32, 2048
+#: Pieces (of less than 400 bytes) in a suffix array at once.
+PIECES = 1 << 10
 
 
 def suffix_array(symbols: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,37 +100,32 @@ def _nearest_smaller(p: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, value, 0)
 
 
-def repeated_windows(rows: list[dict], kind: Symbols, first_stays: bool) -> list[dict]:
+def repeated_windows(rows: pa.Table, kind: Symbols, first_stays: bool) -> pa.RecordBatch:
     """Windows of each piece that occur in another piece of its anchor (earlier, if the first
     stays).  Pieces of several anchors share one suffix array: a symbol is a byte with the
     number of its anchor, and pieces end with symbols of their own."""
-    numbers: dict[int, int] = {}
-    size = sum(len(r["piece"]) + 1 for r in rows)
-    symbols, position = np.empty(size, np.int64), np.empty(size, np.int64)
-    ids = np.empty((3, size), np.int64)
-    starts, at = [], 0
-    for i, r in enumerate(rows):
-        x, base = r["piece"], numbers.setdefault(r["anchor"], len(numbers)) * 256 + len(rows)
-        symbols[at:at + len(x)] = np.frombuffer(x, np.uint8).astype(np.int64) + base
-        symbols[at + len(x)] = i
-        ids[0, at:at + len(x) + 1], ids[1, at:at + len(x) + 1] = r["id"], r["tk"]
-        ids[2, at:at + len(x) + 1] = np.arange(r["lo"], r["lo"] + len(x) + 1)
-        starts.append(at)
-        at += len(x) + 1
-    position[np.lexsort((ids[2], ids[1], ids[0]))] = np.arange(size)
+    anchor, variant, n, doc, tk, lo = (rows[c].to_numpy() for c in ("anchor", "variant", "n", "id", "tk", "lo"))
+    pieces = rows["piece"].to_pylist()
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+    piece, ends = np.repeat(np.arange(len(pieces)), sizes), np.cumsum(sizes)
+    place = np.arange(ends[-1]) - (ends - sizes)[piece]
+    number = np.unique(anchor, return_inverse=True)[1]
+    symbols = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8) + (number * 256 + len(pieces))[piece]
+    symbols[ends - 1] = np.arange(len(pieces))
     order, lcp = suffix_array(symbols, kind.length)
     # Entries that share a window with a neighbour; an entry before each run of them shares less.
     shares = lcp >= kind.length
     at_run = np.flatnonzero(shares | np.append(shares[1:], False))
     order, lcp = order[at_run], lcp[at_run]
-    repeated = np.zeros(size, bool)
-    repeated[order] = lpf(order, lcp, position) >= kind.length
+    position, of = np.empty(len(order), np.int64), piece[order]
+    position[np.lexsort((lo[of] + place[order], tk[of], doc[of]))] = every = np.arange(len(order))
+    repeated = np.zeros(len(symbols), bool)
+    repeated[order] = lpf(every, lcp, position) >= kind.length
     if not first_stays:
-        later = np.zeros(size, bool)
-        later[order] = lpf(order, lcp, -position) >= kind.length
+        later = np.zeros(len(symbols), bool)
+        later[order] = lpf(every, lcp, -position) >= kind.length
         repeated |= later
-    return [{"anchor": r["anchor"], "variant": r["variant"], "starts": found}
-            for r, a in zip(rows, starts) if (found := runs(repeated[a:a + r["n"]]))]
+    return starts_batch(anchor, variant, n, repeated[place < n[piece]])
 
 
 def window_hashes(rows: DataFrame, kind: Symbols) -> DataFrame:
@@ -168,8 +165,13 @@ def by_hashes(rows: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
 def match(pieces: DataFrame, kind: Symbols, first_stays: bool) -> DataFrame:
     """``anchor, variant, starts`` (see ``repeats.repeated_ranges``)."""
     crowded = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > VARIANTS).select("anchor")
-    small = by_batches(pieces.join(crowded, "anchor", "left_anti"), ["anchor"],
-                       lambda rows: repeated_windows(rows, kind, first_stays), STARTS, PIECES, STARTS_SCHEMA)
+
+    def run(batches):
+        for rows in whole_groups(batches, "anchor", PIECES):
+            yield repeated_windows(rows, kind, first_stays)
+
+    small = (pieces.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+             .mapInArrow(run, STARTS))
     return small.unionByName(by_hashes(pieces.join(crowded, "anchor", "left_semi"), kind, first_stays))
 
 

@@ -311,6 +311,25 @@ def test_groups_stay_whole_and_flags_become_ranges():
                      {"anchor": 9, "variant": 3, "starts": [{"from": 0, "until": 1}, {"from": 2, "until": 4}]}]
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_repeated_windows_of_some_anchors(first):
+    """Pieces of several anchors in one table; places are ordered by id, text and start."""
+    rnd, kind = random.Random(6), repeats.Symbols(False, 8, 4)
+    for _ in range(40):
+        rows = [{"anchor": a, "variant": v, "id": rnd.randint(0, 3), "tk": rnd.randint(0, 1), "lo": 50 * (4 * a + v),
+                 "n": (n := rnd.randint(1, 12)), "piece": bytes(rnd.choice(b"ab") for _ in range(n + 7))}
+                for a in range(rnd.randint(1, 4)) for v in range(rnd.randint(1, 4))]
+        table = pa.Table.from_pylist(rows)
+        found = {(r["anchor"], r["variant"]): {i for s in r["starts"] for i in range(s["from"], s["until"])}
+                 for r in suffixarray.repeated_windows(table, kind, first).to_pylist()}
+        for r in rows:
+            for i in range(r["n"]):
+                at = [(q["id"], q["tk"], q["lo"] + j) for q in rows if q["anchor"] == r["anchor"]
+                      for j in range(q["n"]) if q["piece"][j:j + 8] == r["piece"][i:i + 8]]
+                wanted = min(at) < (r["id"], r["tk"], r["lo"] + i) if first else len(at) > 1
+                assert (i in found.get((r["anchor"], r["variant"]), ())) == wanted
+
+
 def test_suffix_order_and_previous_factors():
     rnd = random.Random(2)
     for _ in range(60):
