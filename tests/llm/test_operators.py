@@ -257,6 +257,44 @@ def test_suffix_array(docs, none, first, crowd, monkeypatch):
     assert suffixarray.without_repeats(docs, 40, 16).columns == docs.columns
 
 
+@pytest.mark.parametrize("first", [False, True])
+def test_crowded_anchors_without_a_row_per_window(spark, first, monkeypatch):
+    """A line in many surroundings, some of them shared on one side or on both, some only near the line."""
+    monkeypatch.setattr(suffixarray, "VARIANTS", 4)
+    rnd, original, rows_of_parts = random.Random(8), suffixarray.parts, []
+
+    def watched(*args):
+        rows_of_parts.append(original(*args).count())
+        return original(*args)
+
+    monkeypatch.setattr(suffixarray, "parts", watched)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    line, sides, rows = noise(90), [noise(150) for _ in range(3)], []
+    for i in range(120):
+        before, after = (rnd.choice(sides) if rnd.random() < .3 else noise(150) for _ in "ab")
+        cut = rnd.randrange(0, 60)
+        before = noise(150 - cut) + rnd.choice(sides)[150 - cut:] if rnd.random() < .3 else before
+        rows.append((i, before + line + after))
+    rows += [(5, rows[5][1]), (None, rows[7][1]), (200, rows[9][1] + rows[10][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prepare(spark)
+    found = sorted((r["n_removed"], r["kept_sha256"]) for r in suffixarray.dedup_digests(
+        docs.where("doc_id is not null and doc_id <> 5"), 120, 16, first).collect())
+    texts = marked(docs.where("doc_id is not null and doc_id <> 5"), 120, lambda t: t.encode(), first)
+    assert found == sorted((sum(gone), hashlib.sha256(bytes(c for c, g in zip(x, gone) if not g)).hexdigest())
+                           for x, gone in texts.values())
+    assert any(n for n, _ in found) and rows_of_parts and max(rows_of_parts) <= 6 * len(rows)
+    if not first:  # rows that come twice, and one without an id
+        seen = Counter(t[k:k + 120] for _, t in rows for k in range(len(t) - 119))
+        for r in suffixarray.dedup_digests(docs, 120, 16, False).collect():
+            t = next(t for i, t in rows if i == r["doc_id"])
+            gone = {k + m for k in range(len(t) - 119) if seen[t[k:k + 120]] > 1 for m in range(120)}
+            assert r["n_removed"] == len(gone)
+
+
 def test_ranges_of_repeated_rows_are_held_once(spark, monkeypatch):
     """Many rows equal in id and text put one document's ranges in an array, not one per row."""
     rnd, seen = random.Random(5), []
