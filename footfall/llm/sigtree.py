@@ -425,6 +425,15 @@ def _partnered(rows: DataFrame, percent: int) -> DataFrame:
     return _by_group(rows, work, "token long, band int, i long, j long, node long")
 
 
+def _once(partnered: DataFrame) -> DataFrame:
+    """``partnered`` without pairs of blocks that are left with the members of another one in the band (by count
+    and a 64-bit hash): full sets are sent once for equal members, however many shingles they share."""
+    key = ["token", "band", "i", "j"]
+    members = partnered.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("node")).alias("x"))
+    one = members.groupBy("band", "rows", "x").agg(F.min(F.struct("token", "i", "j")).alias("at"))
+    return partnered.join(one.select("band", "at.*"), key, "left_semi")
+
+
 def _links(rows: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links that full sets (the last column) confirm and that join components."""
     def work(rows):
@@ -463,7 +472,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         partnered = written(_partnered(dealt.join(signatures, "node").select(*columns), percent), "jaccard-partnered")
         wanted = partnered.select("node").distinct()
         sets = _full_sets(wanted, nodes, docs, width)
-        confirmed = (dealt.join(partnered, ["token", "band", "i", "j", "node"])
+        confirmed = (dealt.join(_once(partnered), ["token", "band", "i", "j", "node"])
                      .join(signatures.join(wanted, "node", "left_semi").join(sets, "node"), "node").select(*columns, "shingles"))
         labels = _merged(written(_links(confirmed, percent), "jaccard-links"), labels)
         for scratch in (sets, dealt, partnered):

@@ -88,6 +88,36 @@ def test_crowd_of_near_copies_and_outsiders(spark, monkeypatch):
     assert found(sigtree.jaccard_components(docs, 4, 85)) == plain(rows, 4, 85)
 
 
+def test_full_sets_are_sent_once_for_equal_members(spark, monkeypatch):
+    """Pairs below the threshold that share many rare shingles, in groups that others make different."""
+    original, sent = sigtree._links, []
+
+    def watched(rows, percent):
+        members = {}
+        for r in rows.select("token", "band", "i", "j", "node").collect():
+            members.setdefault(tuple(r)[:4], set()).add(r["node"])
+        sent.append([(at[1], frozenset(m)) for at, m in members.items()])
+        return original(rows, percent)
+
+    monkeypatch.setattr(sigtree, "_links", watched)
+    prepare(spark)
+    rnd, rows = random.Random(6), []
+    for k in range(12):
+        base = [f"b{k}_{i}" for i in range(150)]
+        for i in range(2):
+            text = list(base)
+            for _ in range(6):
+                text[rnd.randrange(150)] = f"x{rnd.randrange(10 ** 6)}"
+            rows.append((100 * k + i, " ".join(text), 7, "", 5, 5, 5))
+        for i in range(12):  # each shares some shingles with both
+            at = 12 * i
+            text = [f"y{k}_{i}_{m}" for m in range(140)] + base[at:at + 12]
+            rows.append((100 * k + 10 + i, " ".join(text), 7, "", 5, 5, 5))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert found(sigtree.jaccard_components(docs, 4, 85)) == plain(rows, 4, 85)
+    assert any(sent) and all(len(groups) == len(set(groups)) for groups in sent)
+
+
 @pytest.mark.parametrize("percent", [50, 85])
 def test_tree_finds_all_pairs(percent):
     """The traversal gives every linked pair of different labels, and exactness is up to the sets."""
