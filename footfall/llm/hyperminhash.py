@@ -12,10 +12,12 @@ Groups are never expanded into pairs.  Equal sets are one node (its id: 64 bits
 the set; equal for different sets with a chance of n**2 / 2**65).  Round one tests a
 node against the smallest node of each of its bands and merges what is confirmed.  Bands that
 still hold more than one component are dealt out as pairs of blocks of about ``BLOCK`` members
-or ``BLOCK_SHINGLES`` shingles.  Round two keeps, by registers, the members with a plausible partner of
-another component in their blocks; round three gives those their full sets, tests each
-plausible pair once, where its first shared band is, unless links of the same blocks have joined
-its ends already, and returns the links that joined something: fewer than there are members.
+or ``BLOCK_SHINGLES`` shingles: first, in crowded bands only, each block with itself and with the first one, whose
+rows grow with the members; then, of what holds different components still, all pairs of blocks, but none of one
+component's own blocks.  Each time, registers choose the members with a plausible partner of
+another component in their blocks; those get their full sets, and each
+plausible pair is tested once, where its first shared band is, unless links of the same blocks have joined
+its ends already; returned are the links that joined something: fewer than there are members.
 
 Defined results: null, empty or blank text has the empty set, size 0, and is linked with
 nothing; rows with one ``doc_id`` and different texts are different nodes; a null ``doc_id``
@@ -177,17 +179,41 @@ def _register_test(pairs: DataFrame, nodes: DataFrame, threshold: float, k: int)
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _dealt(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of bands with several components, once for each pair of blocks they are in."""
+def _dealt(members: DataFrame, labels: DataFrame, nodes: DataFrame, complete: bool) -> DataFrame:
+    """Members of bands with several components, once for each pair of blocks they are in; unless ``complete``,
+    only of crowded bands, and of their pairs those of the first block and those of a block with itself.
+
+    A component of more than half a block has blocks of its own, which are never paired with each other; others
+    are in one block as a whole."""
     labelled = members.select("band", "node").join(labels, "node").join(nodes.select("node", "n_shingles"), "node")
-    of_band = labelled.groupBy("band").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    return (labelled.join(of_band.where("lo <> hi").select("band", "blocks"), "band")
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                    "node", "label", "n_shingles"))
+    load = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    of_band = (labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), load.alias("load"))
+               .where("lo <> hi").select("band", "load"))
+    columns = ["band", "i", "j", "block", "node", "label", "n_shingles"]
+    zero = F.lit(0).cast("long")
+    labelled = written(labelled.join(of_band if complete else of_band.where("load > 1"), "band"), "band-labelled")
+    crowded = labelled.where("load > 1")
+    of_label = crowded.groupBy("band", "label").agg(load.alias("own"))
+    large = F.col("own") > 0.5
+    crowded = crowded.join(of_label, ["band", "label"]).withColumns({
+        "sole": F.when(large, F.col("label")),
+        "part": F.when(large, F.pmod(F.xxhash64("node"), F.ceil("own")))
+        .otherwise(F.pmod(F.xxhash64(F.lit(7), "label"), F.ceil("load")))})
+    crowded = crowded.withColumn("block", F.xxhash64(F.coalesce("sole", zero), F.col("sole").isNull(), "part"))
+    blocks = crowded.groupBy("band", "block").agg(F.max("sole").alias("sole"))
+    one, other = (blocks.select("band", F.col("block").alias(c), F.col("sole").alias(f"sole_{c}")) for c in "ij")
+    if complete:
+        pairs = one.join(other, "band").where("i <= j")
+    else:
+        first = blocks.groupBy("band").agg(F.min("block").alias("i"), F.min_by("sole", "block").alias("sole_i"))
+        itself = one.select("band", "i", "sole_i", F.col("i").alias("j"), F.col("sole_i").alias("sole_j"))
+        pairs = first.join(other, "band").unionByName(itself).distinct()
+    pairs = pairs.where("sole_i is null or sole_j is null or sole_i <> sole_j")
+    sides = pairs.select("band", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    plain = labelled.where("load <= 1").withColumns({"i": zero, "j": zero, "block": zero}).select(*columns)
+    dealt = written(plain.unionByName(crowded.join(sides, ["band", "block"]).select(*columns)), "band-blocks")
+    drop_written(labelled)
+    return dealt
 
 
 class _Blocks:
@@ -246,10 +272,10 @@ def _with_partners(dealt: DataFrame, threshold: float, k: int) -> DataFrame:
             found[x] |= len(y) > 0
         at = np.flatnonzero(found)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), v), t) for v, t in zip(rows[0], (pa.int64(), pa.int32(), pa.int32()))]
+            [pa.array(np.full(len(at), v), t) for v, t in zip(rows[0], [pa.int64()] * 3)]
             + [pa.array(blocks.node[at])], ["band", "i", "j", "node"])
 
-    return _by_blocks(dealt, work, "band long, i int, j int, node long")
+    return _by_blocks(dealt, work, "band long, i long, j long, node long")
 
 
 def intersections(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -348,16 +374,20 @@ def _grouped(docs: DataFrame, width: int, percent: int, keys: dict[str, Column])
     sets = _full_sets(ends, nodes, docs, width)
     labels = merge(written(_confirmed(pairs, sets, percent), "near-links"), labels)
     drop_written(sets)
-    # Bands of more than one component, in blocks.
-    dealt = written(_dealt(members, labels, nodes), "band-blocks")
+    # Bands of more than one component, in blocks; crowded ones first by pairs that grow with the members only.
     registers = nodes.select("node", "registers")
-    partnered = written(_with_partners(dealt.join(registers, "node").select(*dealt.columns, "registers"), threshold, k),
-                        "partnered")
-    sets = _full_sets(partnered.select("node").distinct(), nodes, docs, width)
-    dealt = (dealt.join(partnered, ["band", "i", "j", "node"]).join(registers, "node").join(sets, "node")
-             .select(*dealt.columns, "registers", "shingles"))
-    labels = merge(written(_links_in_blocks(dealt, threshold, percent, k), "near-links"), labels)
-    drop_written(sets)
+    for complete in (False, True):
+        dealt = _dealt(members, labels, nodes, complete)
+        if dealt.isEmpty():
+            continue
+        partnered = written(_with_partners(dealt.join(registers, "node").select(*dealt.columns, "registers"), threshold, k),
+                            "partnered")
+        sets = _full_sets(partnered.select("node").distinct(), nodes, docs, width)
+        asked = (dealt.join(partnered, ["band", "i", "j", "node"]).join(registers, "node").join(sets, "node")
+                 .select(*dealt.columns, "registers", "shingles"))
+        labels = merge(written(_links_in_blocks(asked, threshold, percent, k), "near-links"), labels)
+        for scratch in (sets, dealt, partnered):
+            drop_written(scratch)
     final = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("first_id").alias("component"))

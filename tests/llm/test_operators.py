@@ -220,6 +220,36 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert 1 < len(set(label)) < len(rows)
 
 
+def test_crowd_of_near_copies_is_dealt_out_in_proportion(spark, monkeypatch):
+    """Rows of blocks of one large group and some outsiders grow with its members, not with their square."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", 8)
+    rnd, original, counts = random.Random(3), hyperminhash._by_blocks, []
+
+    def watched(dealt, work, schema):
+        if "shingles" not in dealt.columns:
+            counts.append((dealt.count(), dealt.select("band", "node").distinct().count()))
+        return original(dealt, work, schema)
+
+    monkeypatch.setattr(hyperminhash, "_by_blocks", watched)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(240):  # places apart, so that any two of the group are linked through few others
+        text = list(base)
+        for _ in range(1 + i % 2 if i % 40 else 14):
+            text[rnd.randrange(150)] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(text)))
+    sets = [{tuple(w[k:k + 3]) for k in range(148)} for w in (t.split() for _, t in rows)]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    prepare(spark)
+    found = collected(hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85))
+    assert [found[i]["component_id"] for i in range(len(rows))] == label
+    assert counts and all(dealt <= 4 * members for dealt, members in counts)
+
+
 def test_intersections_in_parts(monkeypatch):
     monkeypatch.setattr(hyperminhash, "BLOCK_SHINGLES", 5)
     one, others = np.array([1, 4, 7], np.uint64), [[4, 9], [1, 2, 3, 4, 7, 8], [5], [7]]
