@@ -9,7 +9,8 @@ collisions of compressed values, drops candidates ``SIGMAS`` standard deviations
 threshold; full sets confirm the rest exactly.
 
 Groups are never expanded into pairs.  Equal sets are one node (its id: 64 bits of a digest of
-the set; equal for different sets with a chance of n**2 / 2**65).  Round one tests a
+the set; equal for different sets with a chance of n**2 / 2**65).  Of bands with the same
+members (by count and a 64-bit hash) only the first one is kept.  Round one tests a
 node against the smallest node of each of its bands and merges what is confirmed.  Bands that
 still hold more than one component are dealt out as pairs of blocks of about ``BLOCK`` members
 or ``BLOCK_SHINGLES`` shingles: first, in crowded bands only, each block with itself and with the first one, whose
@@ -39,9 +40,11 @@ from pyspark.sql import functions as F
 from .common import any_columns, drop_written, text_bytes, text_of, written
 from .components import components
 from .quality import row_keys
+from .sieve import Sieve
 
 ROWS, MANTISSA, MISS, SIGMAS = 6, 10, 1e-6, 5
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+KEY_BITS = 48
 NO_ID = -(1 << 63)  # stands for a null doc_id
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,13 +93,14 @@ def registers_of(shingles: np.ndarray, k: int) -> np.ndarray:
 
 
 def all_band_keys(registers: np.ndarray) -> np.ndarray:
-    """Keys of each band, for a matrix of registers."""
+    """Keys of each band, for a matrix of registers: the place of the band, then ``KEY_BITS`` bits of hash."""
     n, k = registers.shape
     bands = registers.reshape(n, k // ROWS, ROWS)
-    key = np.broadcast_to(np.arange(1, k // ROWS + 1, dtype=np.uint64), bands.shape[:2]).copy()
+    place = np.broadcast_to(np.arange(1, k // ROWS + 1, dtype=np.uint64), bands.shape[:2])
+    key = place.copy()
     for i in range(ROWS):
         key = mix64(key * _M3 + bands[:, :, i])
-    return key.astype(np.int64)
+    return (place << np.uint64(KEY_BITS) | key >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
 def band_keys(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -313,17 +317,29 @@ def _links_in_blocks(dealt: DataFrame, threshold: float, percent: int, k: int) -
 
 
 def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes."""
-    wanted = nodes.select("node", "rep", "rep_text").join(wanted, "node")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), text_key().alias("rep_text"), "text").join(
-        wanted, ["rep", "rep_text"]).select("node", "text").dropDuplicates(["node"])
+    """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes; of the texts only those
+    that are likely wanted are shuffled."""
+    wanted = written(nodes.select("node", "rep", "rep_text").join(wanted, "node", "left_semi"), "sets-wanted")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("rep"), text_key().alias("rep_text"), "text")
+    texts = Sieve(wanted.select("rep", "rep_text")).rows(texts, "rep", "rep_text")
+    found = texts.join(wanted, ["rep", "rep_text"]).select("node", "text").dropDuplicates(["node"])
 
     def run(batches):
         for b in batches:
             sets = [shingle_set(t, width).tobytes() for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return written(texts.mapInArrow(run, "node long, shingles binary"), "full-sets")
+    return written(found.mapInArrow(run, "node long, shingles binary"), "full-sets")
+
+
+def band_members(bands: DataFrame) -> DataFrame:
+    """``band, node, lo``: members of bands that hold two or more and the smallest of them.  Of bands with the same
+    members the one of the first place is left: two nodes are tested where their first shared band is."""
+    dealt = bands.where("band is not null").repartition("band")  # counted and joined as it was shuffled once
+    shared = dealt.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                       F.min("node").alias("lo")).where("n > 1")
+    once = shared.groupBy("n", "x").agg(F.min("band").alias("band"), F.min("lo").alias("lo")).select("band", "lo")
+    return dealt.join(once, "band")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -354,9 +370,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, keys: dict[str, Column])
         .select("node", F.col("row.doc_id").alias("first_id"), "registers", "n_shingles",
                 F.coalesce("row.doc_id", F.lit(NO_ID)).alias("rep"), F.col("row._text").alias("rep_text")), "near-nodes")
     bands = written(_bands(nodes, k), "bands")
-    shared = (bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where("lo <> hi"))
-    members = written(bands.join(shared, "band"), "band-members")
+    members = written(band_members(bands), "band-members")
     drop_written(bands)
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
 

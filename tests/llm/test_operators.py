@@ -197,6 +197,35 @@ def test_many_texts_without_id(spark):
     assert all(hyperminhash.node_of(np.frombuffer(r["shingles"], np.uint64)) == r["node"] for r in sets)
 
 
+def test_bands_with_equal_members_are_one(spark):
+    """The band of the first place stays, with all its members; bands of one node go."""
+    place = 1 << hyperminhash.KEY_BITS
+    held = {2 * place + 9: [1, 2], 3 * place + 1: [1, 2], place + 5: [4], 5 * place + 7: [1, 2, 3], 4 * place + 2: [2, 3]}
+    rows = [(band, node) for band, nodes in held.items() for node in nodes]
+    bands = spark.createDataFrame(rows, "band long, node long").repartition(3)
+    got = sorted(map(tuple, hyperminhash.band_members(bands).select("band", "node", "lo").collect()))
+    assert got == sorted((b, n, min(held[b])) for b in held if b not in (place + 5, 3 * place + 1) for n in held[b])
+
+
+def test_full_sets_shuffle_wanted_texts_only(spark, monkeypatch):
+    """Texts of other nodes are dropped before the join."""
+    original, kept = hyperminhash.Sieve.rows, []
+
+    def watched(self, df, *columns):
+        out = original(self, df, *columns)
+        kept.append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(hyperminhash.Sieve, "rows", watched)
+    prepare(spark)
+    docs = spark.createDataFrame([(i, f"text number {i} of many") for i in range(200)], "doc_id long, text string")
+    nodes = hyperminhash.signatures(docs, 5, 6, {"rep_text": hyperminhash.text_key()}).withColumn("rep", F.col("doc_id"))
+    wanted = nodes.where("doc_id < 5")
+    got = hyperminhash._full_sets(wanted.select("node"), nodes, docs, 5).collect()
+    assert {r["node"] for r in got} == {r["node"] for r in wanted.collect()} and len(got) == 5
+    assert [before for before, _ in kept] == [200] and kept[0][1] < 20
+
+
 def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     """A large group of all degrees of likeness, whose bands are dealt out as many blocks."""
     monkeypatch.setattr(hyperminhash, "BLOCK", 8)
