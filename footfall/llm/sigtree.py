@@ -7,7 +7,8 @@ group is a *signature tree*: leaves are members, inner nodes hold the OR of the
 range of set sizes, and the fewest bits a member must share with a partner.  A dual traversal from
 (root, root) drops pairs of tree nodes whose sizes are too far apart, whose common bits are fewer
 than one of them needs, or which are known to be one component.  What is left are pairs whose
-bitmaps allow the wanted overlap; full sets decide.
+bitmaps allow the wanted overlap; full sets decide.  A group's members get bitmaps folded to a quarter first,
+whole ones if they then may have a partner of another component, and full sets if they still may.
 
 Groups.  Under any one order of all shingles, two sets that share ``need`` of ``n`` shingles share one
 among the first ``n - need + 1`` of each.  So a node is a member of the group of each of these
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import drop_written, text_bytes, written
 from .components import components
-from .hyperminhash import NO_ID, intersections, mix64, node_of, shingle_set, text_key
+from .hyperminhash import NO_ID, _full_sets, intersections, mix64, node_of, shingle_set, text_key
 from .sieve import Sieve
 
 LEAST_BITS, MOST_BITS = 64, 1 << 15
@@ -57,6 +58,8 @@ HOT, HOT_LISTED = 512, 1 << 17
 #: Share of a set's smallest hashes (and their least number) that is kept with a node.
 KEPT_SHARE, KEPT_LEAST = 0.2, 32
 ROUNDS, LARGEST = (1, 3, None), 4
+#: Members are chosen by bitmaps of a part of the width (but so many bits at least), then by whole ones.
+NARROW, NARROW_LEAST = 4, 512
 #: Pairs of tree nodes looked at together; shingles counted together.
 FRONT, COUNTED = 1 << 14, 1 << 22
 
@@ -251,22 +254,6 @@ def _hot(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], n[order]
 
 
-def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``node, shingles``: the full sets of the nodes in ``wanted``, as bytes; of the texts only those
-    that are likely wanted are shuffled."""
-    wanted = written(nodes.select("node", "rep", "rep_text").join(wanted, "node", "left_semi"), "jaccard-wanted")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("rep"), text_key().alias("rep_text"), "text")
-    texts = Sieve(wanted.select("rep", "rep_text")).rows(texts, "rep", "rep_text")
-    found = texts.join(wanted, ["rep", "rep_text"]).select("node", "text").dropDuplicates(["node"])
-
-    def run(batches):
-        for b in batches:
-            sets = [shingle_set(t, width).tobytes() for t in text_bytes(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    return written(found.mapInArrow(run, "node long, shingles binary"), "jaccard-sets")
-
-
 def first_shingles(low: np.ndarray, size: int, hot: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray | None:
     """The first ``size - need + 1`` shingles of a set in the common order, from its smallest hashes;
     None if these do not suffice."""
@@ -411,18 +398,30 @@ def _tree(rows: list[tuple], percent: int) -> SignatureTree:
                          np.array([r[6] for r in rows], np.int64), np.array([r[7] for r in rows], bool), percent)
 
 
-def _partnered(rows: DataFrame, percent: int) -> DataFrame:
-    """``token, band, i, j, node`` of members that may be linked with one of another component."""
-    names = ["token", "band", "i", "j", "node"]
+def _narrow(signatures: DataFrame) -> DataFrame:
+    """``signatures`` (``node, head, bits``) with bitmaps folded to a ``NARROW``th of their width."""
+    def run(batches):
+        for x in batches:
+            words = (np.frombuffer(v, np.uint64) for v in x.column(2).to_pylist())
+            folded = [fold(w, max(NARROW_LEAST, 64 * len(w) // NARROW)).tobytes() for w in words]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(folded, pa.binary())], x.schema.names)
+
+    return signatures.mapInArrow(run, signatures.schema)
+
+
+def _partnered(dealt: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``dealt`` of members that may be linked with one of another component of their group."""
+    names = dealt.columns
+    types = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.bool_()]
 
     def work(rows):
         at = _tree(rows, percent).partnered()
         if len(at):
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array([v] * len(at), t) for v, t in zip(rows[0], types)), pa.array([rows[k][4] for k in at])], names)
+            columns = list(zip(*(rows[k][:len(names)] for k in at)))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return _by_group(rows, work, "token long, band int, i long, j long, node long")
+    return _by_group(dealt.join(signatures, "node").select(*names, "head", "bits"), work,
+                     "token long, band int, i long, j long, node long, n_shingles long, label long, own boolean")
 
 
 def _once(partnered: DataFrame) -> DataFrame:
@@ -465,17 +464,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     members = written(_groups(_memberships(nodes, docs, width, percent), nodes), "jaccard-groups")
     labels = members.select("node").distinct().withColumn("label", F.col("node"))
     signatures = nodes.select("node", "head", "bits")
+    narrow = written(_narrow(signatures), "jaccard-narrow")
     for most in ROUNDS:
         asked = members if most is None else members.where(F.col("nth") <= most)
         dealt = written(_dealt(asked.drop("nth").join(labels, "node"), percent, most is None), "jaccard-dealt")
-        columns = [*dealt.columns, "head", "bits"]
-        partnered = written(_partnered(dealt.join(signatures, "node").select(*columns), percent), "jaccard-partnered")
+        likely = written(_partnered(dealt, narrow, percent), "jaccard-likely")
+        drop_written(dealt)
+        partnered = written(_partnered(likely, Sieve(likely.select("node")).rows(signatures, "node"), percent),
+                            "jaccard-partnered")
+        drop_written(likely)
         wanted = partnered.select("node").distinct()
         sets = _full_sets(wanted, nodes, docs, width)
-        confirmed = (dealt.join(_once(partnered), ["token", "band", "i", "j", "node"])
-                     .join(signatures.join(wanted, "node", "left_semi").join(sets, "node"), "node").select(*columns, "shingles"))
+        signed_sets = Sieve(partnered.select("node")).rows(signatures, "node").join(sets, "node")
+        confirmed = _once(partnered).join(signed_sets, "node").select(*partnered.columns, "head", "bits", "shingles")
         labels = _merged(written(_links(confirmed, percent), "jaccard-links"), labels)
-        for scratch in (sets, dealt, partnered):
+        for scratch in (sets, partnered):
             drop_written(scratch)
     final = nodes.select("node", "first_id").join(labels, "node", "left").select(
         "node", "first_id", F.coalesce("label", "node").alias("label"))

@@ -116,6 +116,29 @@ def test_full_sets_are_sent_once_for_equal_members(spark, monkeypatch):
     assert any(sent) and all(len(groups) == len(set(groups)) for groups in sent)
 
 
+def test_whole_bitmaps_only_for_likely_members(spark, monkeypatch):
+    """Texts that share a passage and little else are sorted out by bitmaps of a quarter of the width."""
+    original, sent = sigtree._partnered, []
+
+    def watched(dealt, signatures, percent):
+        sent.append((dealt.count(), max((len(r["bits"]) for r in signatures.collect()), default=0)))
+        return original(dealt, signatures, percent)
+
+    monkeypatch.setattr(sigtree, "_partnered", watched)
+    prepare(spark)
+    rows = []
+    for i in range(40):
+        text = [f"w{i}_{m}" for m in range(280)] + [f"p{m}" for m in range(30)]
+        rows.append((i, " ".join(text), 7, "", 5, 5, 5))
+    rows.append((50, " ".join(["changed", *text[1:]]), 7, "", 5, 5, 5))  # a near copy of the last one
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert found(sigtree.jaccard_components(docs, 4, 85)) == plain(rows, 4, 85)
+    first, then = sent[::2], sent[1::2]
+    assert len(first) == len(then) == 3 and first[0][0] >= 41
+    assert first[0][1] * sigtree.NARROW == max(bits for _, bits in then)
+    assert 4 * sum(n for n, _ in then) < sum(n for n, _ in first)
+
+
 @pytest.mark.parametrize("percent", [50, 85])
 def test_tree_finds_all_pairs(percent):
     """The traversal gives every linked pair of different labels, and exactness is up to the sets."""
